@@ -15,6 +15,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .appName("trackflow")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
