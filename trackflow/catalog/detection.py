@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackflow.catalog import proxies as P
 from trackflow.catalog.registry import query, rounded
 from trackflow.config import EARTH_RADIUS_NM, RUNWAYS, STACKS, TrackRules
-from trackflow.functions.geo import great_circle_nm, nearest
+from trackflow.functions.geo import great_circle_nm, nearest, point_id
 from trackflow.functions.text import episode_id
-from trackflow.functions.times import SECOND
 from trackflow.operators import episodes as E
 from trackflow.operators import tracks as K
 from trackflow.operators.windows import look_ahead, look_back, run_starts
@@ -49,9 +48,9 @@ def feature_ctes(source: str = "pos", part: str = "icao24") -> str:
     """Features as plain windows over the whole key: no chunks, a range frame for the rolling turn."""
     return f"""
 valid AS (SELECT * FROM {source} WHERE event_ts IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL AND alt_ft IS NOT NULL),
-uniq AS (SELECT *, epoch_us(event_ts) AS us FROM valid
+uniq AS (SELECT * REPLACE (max(callsign) OVER (PARTITION BY {part}, event_ts) AS callsign), epoch_us(event_ts) AS us FROM valid
          QUALIFY row_number() OVER (PARTITION BY {part}, event_ts ORDER BY lat NULLS FIRST, lon NULLS FIRST,
-             alt_ft NULLS FIRST, vr_fpm NULLS FIRST, track_deg NULLS FIRST, on_ground NULLS FIRST, callsign NULLS FIRST) = 1),
+             alt_ft NULLS FIRST, vr_fpm NULLS FIRST, track_deg NULLS FIRST, on_ground NULLS FIRST) = 1),
 geo AS (SELECT * REPLACE (coalesce(on_ground, FALSE) AS on_ground), {nearest_sql("stack", STACKS)}, {nearest_sql("rwy", RUNWAYS)},
         (us - lag(us) OVER w) / 1e6 AS gap, track_deg - lag(track_deg) OVER w AS dt, alt_ft - lag(alt_ft) OVER w AS da
         FROM uniq WINDOW w AS (PARTITION BY {part} ORDER BY us)),
@@ -142,8 +141,8 @@ def nearest_point(spark, sf_dir):
     stack, rwy = (nearest(F.col("lat"), F.col("lon"), p) for p in (STACKS, RUNWAYS))
     return rounded(
         at.select("icao24", "event_ts", stack.alias("s"), rwy.alias("r")).select(
-            "icao24", "event_ts", F.col("s.id").alias("nearest_stack"), F.col("s.dist").alias("dist_stack_nm"),
-            F.col("r.id").alias("nearest_rwy"), F.col("r.dist").alias("dist_rwy_nm"),
+            "icao24", "event_ts", point_id(F.col("s.rank"), STACKS).alias("nearest_stack"), F.col("s.dist").alias("dist_stack_nm"),
+            point_id(F.col("r.rank"), RUNWAYS).alias("nearest_rwy"), F.col("r.dist").alias("dist_rwy_nm"),
         )
     )
 
@@ -161,7 +160,7 @@ def track_features(spark, sf_dir):
 @query("rolling_turn", f"{FEATURES} SELECT icao24, event_ts, dtrack, cum_turn_deg FROM feat")
 def rolling_turn(spark, sf_dir):
     frames = K.track_frames(positions(spark, sf_dir), RULES).where("home")
-    return rounded(frames.select("icao24", F.timestamp_micros("us").alias("event_ts"), "dtrack", "cum_turn_deg"))
+    return rounded(frames.select("icao24", F.timestamp_micros("us").alias("event_ts"), "dtrack", K.degrees(F.col("cum_micro")).alias("cum_turn_deg")))
 
 
 @query(
@@ -180,11 +179,7 @@ def visit_sessions(spark, sf_dir):
     SELECT icao24, event_ts, nearest_rwy, round(alt_ft, 6) AS alt_ft FROM f WHERE first_low""",
 )
 def low_run_starts(spark, sf_dir):
-    return rounded(
-        run_starts(positions(spark, sf_dir), RULES).select(
-            "icao24", F.timestamp_micros("us").alias("event_ts"), "nearest_rwy", "alt_ft"
-        )
-    )
+    return rounded(run_starts(positions(spark, sf_dir), RULES))
 
 
 @query(

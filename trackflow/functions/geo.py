@@ -21,22 +21,23 @@ def great_circle_nm(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
 
 
 def nearest(lat: Column, lon: Column, points: Sequence[Point]) -> Column:
-    """Struct (dist, id) of the closest point; ties go to the earlier one.
+    """Struct (dist, rank) of the closest point; ties go to the earlier one.
 
     The points are literals inside the projection, so no join and no shuffle is planned. The list
-    is a parameter of the call and does not grow with the data.
+    is a parameter of the call and does not grow with the data. ``rank`` is the place in the list:
+    a number travels cheaper through shuffles and aggregates than a name.
     """
     candidates = [
-        F.struct(
-            great_circle_nm(lat, lon, F.lit(p.lat), F.lit(p.lon)).alias("dist"),
-            F.lit(rank).alias("rank"),
-            F.lit(p.id).alias("id"),
-        )
+        F.struct(great_circle_nm(lat, lon, F.lit(p.lat), F.lit(p.lon)).alias("dist"), F.lit(rank).alias("rank"))
         for rank, p in enumerate(points)
     ]
     return F.array_min(F.array(*candidates))
 
 
+def point_id(rank: Column, points: Sequence[Point]) -> Column:
+    return F.get(F.array(*[F.lit(p.id) for p in points]), rank)
+
+
 def heading_change(now: Column, before: Column) -> Column:
     """Signed change of heading wrapped to [-180, 180)."""
     return F.pmod(now - before + F.lit(540.0), F.lit(360.0)) - F.lit(180.0)

@@ -12,44 +12,66 @@ from pyspark.sql import functions as F
 
 from trackflow import schemas
 from trackflow.config import EPISODE_KINDS, TrackRules
+from trackflow.functions.geo import point_id
 from trackflow.functions.text import episode_id
 from trackflow.functions.times import SECOND
 from trackflow.operators.tracks import (
     MICRODEGREE,
     chunk_window,
+    degrees,
     in_stack_zone,
+    is_climbing,
     is_low,
+    starts_run,
     track_frames,
-    unique_reports,
     usable_reports,
 )
 
 SPREAD = -1  # stitch slot of pieces that touch a chunk border; whole pieces use their own chunk
 
 
+def visit_windows(rules: TrackRules, keys: Sequence[str]) -> list[Column]:
+    """Neighbour facts needed to number visits."""
+    w, zone = chunk_window(keys), in_stack_zone(rules)
+    return [
+        F.lag(zone, 1, False).over(w).alias("zone_before"),
+        F.lead(zone, 1, False).over(w).alias("zone_after"),
+        F.lead("gap_s").over(w).alias("gap_after"),
+        F.lag("home", 1, True).over(w).alias("home_before"),
+        F.lead("home", 1, True).over(w).alias("home_after"),
+    ]
+
+
 def with_visits(frames: DataFrame, rules: TrackRules, keys: Sequence[str]) -> DataFrame:
     """Number the visits inside each chunk and mark those that run over a border.
 
     A visit ends when the key leaves the zone or falls silent for longer than the visit gap; both
     are judged on the whole track, before rows outside the zone are put aside.
     """
-    w = chunk_window(keys)
-    yes, no = F.lit(True), F.lit(False)
-    zoned = frames.withColumn("zone", F.coalesce(in_stack_zone(rules), no))
-    opened = F.col("zone") & (~F.lag("zone", 1, False).over(w) | (F.col("gap_s") > rules.visit_gap_s))
-    goes_on = F.col("zone") & F.lead("zone", 1, False).over(w) & (F.lead("gap_s").over(w) <= rules.visit_gap_s)
-    return (
-        zoned.withColumn("opens", opened)
-        .withColumn("from_before", F.col("zone") & ~F.col("opens") & ~F.lag("home", 1, True).over(w))
-        .withColumn("into_next", F.coalesce(goes_on & ~F.lead("home", 1, True).over(w), no))
-        .withColumn("piece", F.sum(F.when(F.col("opens"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("in_visit", F.col("zone") & F.coalesce(F.col("home"), yes))
+    zone = in_stack_zone(rules)
+    opens = zone & (~F.col("zone_before") | (F.col("gap_s") > rules.visit_gap_s))
+    goes_on = zone & F.col("zone_after") & (F.col("gap_after") <= rules.visit_gap_s)
+    to_here = chunk_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+    return frames.select(
+        "*",
+        (zone & F.col("home")).alias("in_visit"),
+        (zone & ~opens & ~F.col("home_before")).alias("from_before"),
+        F.coalesce(goes_on & ~F.col("home_after"), F.lit(False)).alias("into_next"),
+        F.sum(F.when(opens, 1).otherwise(0)).over(to_here).alias("piece"),
     )
 
 
-def run_start(pred: Column, keys: Sequence[str]) -> Column:
-    """True on the first row of each consecutive run of ``pred``."""
-    return pred & ~F.coalesce(F.lag(pred).over(chunk_window(keys)), F.lit(False))
+def approach_windows(rules: TrackRules, keys: Sequence[str]) -> list[Column]:
+    """What came before each report, and how many strong climbs the chunk has seen before it."""
+    c, w = rules.columns, chunk_window(keys)
+    earlier = w.rangeBetween(-rules.arrival_window_s * SECOND, -1)
+    climbs = F.sum(is_climbing(rules).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return [
+        starts_run(is_low(rules), keys).alias("first_low"),
+        F.max(c.ground).over(earlier).alias("ground_before"),
+        F.max(c.alt).over(earlier).alias("alt_before"),
+        F.coalesce(climbs, F.lit(0)).alias("stretch"),
+    ]
 
 
 def with_approaches(frames: DataFrame, rules: TrackRules, keys: Sequence[str]) -> DataFrame:
@@ -59,56 +81,34 @@ def with_approaches(frames: DataFrame, rules: TrackRules, keys: Sequence[str]) -
     aggregate covers exactly the stretch from the current report to the climb that ends it.
     """
     c = rules.columns
-    w = chunk_window(keys)
-    span = rules.arrival_window_s * SECOND
-    earlier = w.rangeBetween(-span, -1)
-    climbing = F.coalesce(
-        ~F.col(c.ground) & (F.col(c.alt) > rules.climb_alt_ft) & (F.col(c.vr) > rules.climb_rate_fpm), F.lit(False)
-    )
     backwards = (
         Window.partitionBy(*keys, "chunk", "stretch")
         .orderBy(F.col("us").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        frames.withColumn("low", F.coalesce(is_low(rules), F.lit(False)))
-        .withColumn("climbing", climbing)
-        .withColumn("first_low", run_start(F.col("low"), keys))
-        .withColumn("ground_before", F.max(c.ground).over(earlier))
-        .withColumn("alt_before", F.max(c.alt).over(earlier))
-        .withColumn(
-            "stretch",
-            F.coalesce(
-                F.sum(F.col("climbing").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
-        )
-        .withColumn("end", F.first(F.struct("us", "climbing")).over(backwards))
-        .withColumn("grounded", F.max(c.ground).over(backwards))
-        .withColumn("seg_low", F.min(c.alt).over(backwards))
-        .withColumn("seg_high", F.max(c.alt).over(backwards))
-        .withColumn("seg_turn", F.sum(F.abs("turn_micro")).over(backwards))
-        .withColumn("seg_rows", F.count(F.lit(1)).over(backwards))
-        .withColumn(
-            "aborted",
-            F.coalesce(
-                F.col("home")
-                & F.col("first_low")
-                & ~F.col("ground_before")
-                & (F.col("alt_before") >= F.col(c.alt) + rules.arrival_drop_ft)
-                & F.col("end.climbing")
-                & (F.col("end.us") <= F.col("us") + rules.climb_window_s * SECOND)
-                & ~F.col("grounded"),
-                F.lit(False),
-            ),
-        )
+    measured = frames.select(
+        "*",
+        F.first("us").over(backwards).alias("end_us"),
+        F.first(is_climbing(rules)).over(backwards).alias("end_climbs"),
+        F.max(c.ground).over(backwards).alias("grounded"),
+        F.min(c.alt).over(backwards).alias("seg_low"),
+        F.max(c.alt).over(backwards).alias("seg_high"),
+        F.sum(F.abs("turn_micro")).over(backwards).alias("seg_turn"),
+        F.count(F.lit(1)).over(backwards).alias("seg_rows"),
+    )
+    arrival = F.col("first_low") & ~F.col("ground_before") & (
+        F.col("alt_before") >= F.col(c.alt) + rules.arrival_drop_ft
+    )
+    away = F.col("end_climbs") & ~F.col("grounded") & (
+        F.col("end_us") <= F.col("us") + rules.climb_window_s * SECOND
     )
+    return measured.withColumn("aborted", F.coalesce(F.col("home") & arrival & away, F.lit(False)))
 
 
-def _part(kind: str, slot, piece, us_end, trigger, low, high, turn, rows, place, from_before, into_next) -> Column:
+def _part(kind: str, piece, us_end, trigger, low, high, turn, rows, place, from_before, into_next) -> Column:
     """Contribution of one report to an episode; both kinds share one layout."""
     return F.struct(
-        F.lit(kind).alias("event_type"),
-        slot.cast("long").alias("slot"),
+        F.lit(EPISODE_KINDS.index(kind)).alias("kind"),
         piece.cast("long").alias("piece"),
         F.col("us").alias("us_start"),
         us_end.alias("us_end"),
@@ -126,145 +126,132 @@ def _part(kind: str, slot, piece, us_end, trigger, low, high, turn, rows, place,
 def _contributions(df: DataFrame, rules: TrackRules, by: Sequence[str], kinds: Sequence[str]) -> DataFrame:
     c = rules.columns
     keys = [*by, c.key]
-    frames = track_frames(df, rules, by)
+    holding, aborting = "holding" in kinds, "go_around" in kinds
+    also = [
+        *(visit_windows(rules, keys) if holding else ()),
+        *(approach_windows(rules, keys) if aborting else ()),
+    ]
+    frames = track_frames(df, rules, by, also=also)
     us, alt, no = F.col("us"), F.col(c.alt), F.lit(False)
     parts = []
-    if "holding" in kinds:
+    if holding:
         frames = with_visits(frames, rules, keys)
         turn = F.abs("cum_micro")
-        parts.append(
-            F.when(
-                F.col("in_visit"),
-                _part(
-                    "holding", F.col("chunk"), F.col("piece"), us,
-                    F.when(turn >= rules.hold_turn_deg * MICRODEGREE, us), alt, alt, turn, F.lit(1),
-                    F.col("nearest_stack"), F.col("from_before"), F.col("into_next"),
-                ),
-            )
+        part = _part(
+            "holding", F.col("piece"), us, F.when(turn >= rules.hold_turn_deg * MICRODEGREE, us), alt, alt, turn,
+            F.lit(1), F.col("stack_rank"), F.col("from_before"), F.col("into_next"),
         )
-    if "go_around" in kinds:
+        parts.append(F.when(F.col("in_visit"), part))
+    if aborting:
         frames = with_approaches(frames, rules, keys)
-        parts.append(
-            F.when(
-                F.col("aborted"),
-                _part(
-                    "go_around", F.col("chunk"), us, F.col("end.us"), F.col("end.us"),
-                    F.col("seg_low"), F.col("seg_high"), F.col("seg_turn"), F.col("seg_rows"),
-                    F.col("nearest_rwy"), no, no,
-                ),
-            )
+        part = _part(
+            "go_around", us, F.col("end_us"), F.col("end_us"), F.col("seg_low"), F.col("seg_high"),
+            F.col("seg_turn"), F.col("seg_rows"), F.col("rwy_rank"), no, no,
         )
+        parts.append(F.when(F.col("aborted"), part))
     exploded = frames.select(*keys, "chunk", F.explode(F.array(*parts)).alias("part"))
     return exploded.where("part IS NOT NULL").select(*keys, "chunk", "part.*")
 
 
-def _place_columns(rules: TrackRules, kinds: Sequence[str]) -> list[str]:
-    points = [p.id for p in (rules.stacks if "holding" in kinds else ())]
-    return sorted(set(points))
+def _folds(tallies: Sequence[str]) -> list[Column]:
+    """How rows of one piece, and later pieces of one visit, combine. All buffers are fixed width."""
+    lowest = [F.min(n).alias(n) for n in ("us_start", "us_trigger", "low")]
+    highest = [F.max(n).alias(n) for n in ("us_end", "high", "turn", "place")]
+    return [*lowest, *highest, F.sum("rows").alias("rows"), *[F.sum(n).alias(n) for n in tallies]]
 
 
-def _joined_pieces(parts: DataFrame, rules: TrackRules, keys: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+def _joined_pieces(parts: DataFrame, rules: TrackRules, keys: Sequence[str]) -> DataFrame:
     """Fold reports into pieces, then join the pieces of visits that cross chunk borders.
 
     The first fold needs no shuffle (rows already sit by key and chunk). Only pieces touching a
     border meet in one partition per key, at most two per chunk; all others stay spread out.
     """
-    places = _place_columns(rules, kinds)
-    tally = [F.sum(F.when(F.col("place") == p, F.col("rows")).otherwise(0)).alias(f"at_{i}") for i, p in enumerate(places)]
-    pieces = parts.groupBy(*keys, "chunk", "event_type", "slot", "piece").agg(
-        F.min("us_start").alias("us_start"),
-        F.max("us_end").alias("us_end"),
-        F.min("us_trigger").alias("us_trigger"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.max("turn").alias("turn"),
-        F.sum("rows").alias("rows"),
-        F.max("place").alias("place"),
-        F.max("from_before").alias("from_before"),
-        F.max("into_next").alias("into_next"),
-        *tally,
+    tallies = [f"at_{i}" for i in range(len(rules.stacks))]
+    counted = parts.select("*", *[F.when(F.col("place") == i, 1).otherwise(0).alias(n) for i, n in enumerate(tallies)])
+    pieces = counted.groupBy(*keys, "chunk", "kind", "piece").agg(
+        *_folds(tallies), F.max("from_before").alias("from_before"), F.max("into_next").alias("into_next")
     )
     border = F.col("from_before") | F.col("into_next")
-    group = [*keys, "event_type", "slot"]
-    in_order = Window.partitionBy(*group).orderBy("us_start")
-    begun = F.last(F.when(~F.col("from_before"), F.col("us_start")), ignorenulls=True).over(
-        in_order.rowsBetween(Window.unboundedPreceding, 0)
-    )
-    stitched = pieces.withColumn("slot", F.when(border, F.lit(SPREAD)).otherwise(F.col("slot"))).withColumn(
-        "visit", F.when(border, begun).otherwise(F.col("us_start"))
-    )
-    return stitched.groupBy(*group, "visit").agg(
-        F.min("us_start").alias("us_start"),
-        F.max("us_end").alias("us_end"),
-        F.min("us_trigger").alias("us_trigger"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.max("turn").alias("turn"),
-        F.sum("rows").alias("rows"),
-        F.max("place").alias("place"),
-        *[F.sum(f"at_{i}").alias(f"at_{i}") for i in range(len(places))],
+    group = [*keys, "kind", "slot"]
+    in_order = Window.partitionBy(*group).orderBy("us_start").rowsBetween(Window.unboundedPreceding, 0)
+    begun = F.last(F.when(~F.col("from_before"), F.col("us_start")), ignorenulls=True).over(in_order)
+    return (
+        pieces.withColumn("slot", F.when(border, F.lit(SPREAD)).otherwise(F.col("chunk")))
+        .withColumn("visit", F.when(border, begun).otherwise(F.col("us_start")))
+        .groupBy(*group, "visit")
+        .agg(*_folds(tallies))
     )
 
 
 def visits(df: DataFrame, rules: TrackRules = TrackRules(), by: Sequence[str] = ()) -> DataFrame:
     """All stack visits, whether or not they circled."""
-    c = rules.columns
-    keys = [*by, c.key]
-    folded = _joined_pieces(_contributions(df, rules, by, ["holding"]), rules, keys, ["holding"])
-    return folded.select(
+    keys = [*by, rules.columns.key]
+    return _joined_pieces(_contributions(df, rules, by, ["holding"]), rules, keys).select(
         *keys,
         F.timestamp_micros("us_start").alias("started_at"),
         F.timestamp_micros("us_end").alias("ended_at"),
         F.col("rows").alias("n_points"),
-        (F.col("turn") / F.lit(float(MICRODEGREE))).alias("max_turn_deg"),
+        degrees(F.col("turn")).alias("max_turn_deg"),
     )
 
 
 def key_summary(df: DataFrame, rules: TrackRules = TrackRules(), by: Sequence[str] = ()) -> DataFrame:
     """Usable reports and last known name per key (partial aggregation, safe for busy keys)."""
     c = rules.columns
-    named = F.when(F.col(c.name).isNotNull(), F.struct(F.col("us"), F.trim(c.name).alias("name")))
+    named = F.when(F.col(c.name).isNotNull(), F.struct(c.ts, c.name))
     return (
-        unique_reports(usable_reports(df, rules), rules, by)
+        usable_reports(df, rules)
         .groupBy(*by, c.key)
-        .agg(F.sum("copies").alias("reports"), F.max(named).alias("named"))
-        .select(*by, c.key, "reports", F.col("named.name").alias("last_name"))
+        .agg(F.count(F.lit(1)).alias("reports"), F.max(named).alias("named"))
+        .select(*by, c.key, "reports", F.trim(F.col("named")[c.name]).alias("last_name"))
     )
 
 
+def most_common_stack(rules: TrackRules) -> Column:
+    """The stack most reports were nearest to; the alphabetically first one among equals."""
+    in_name_order = sorted(range(len(rules.stacks)), key=lambda i: rules.stacks[i].id)
+    tallies = [
+        F.struct(F.col(f"at_{i}").alias("n"), F.lit(-order).alias("order"), F.lit(rules.stacks[i].id).alias("id"))
+        for order, i in enumerate(in_name_order)
+    ]
+    return F.array_max(F.array(*tallies))["id"]
+
+
 def episodes(
     df: DataFrame,
     rules: TrackRules = TrackRules(),
     by: Sequence[str] = (),
     kinds: Sequence[str] = EPISODE_KINDS,
 ) -> DataFrame:
-    """Episodes of the given kinds in the published 13-column layout (plus ``by``)."""
+    """Episodes of the given kinds in the published 13-column layout (plus ``by``).
+
+    One pass over the tracks serves both kinds.
+    """
     c = rules.columns
     keys = [*by, c.key]
-    folded = _joined_pieces(_contributions(df, rules, by, kinds), rules, keys, kinds)
-    holding = F.col("event_type") == "holding"
-    places = _place_columns(rules, kinds)
-    most_common = F.array_max(
-        F.array(*[F.struct(F.col(f"at_{i}").alias("n"), F.lit(-i).alias("rank"), F.lit(p).alias("id")) for i, p in enumerate(places)])
-    )["id"] if places else F.col("place")
-    found = folded.where(~holding | F.col("us_trigger").isNotNull())
-    started, ended = F.timestamp_micros("us_start"), F.timestamp_micros("us_end")
+    folded = _joined_pieces(_contributions(df, rules, by, kinds), rules, keys)
+    holding = F.col("kind") == EPISODE_KINDS.index("holding")
+    kind = F.get(F.array(*[F.lit(k) for k in EPISODE_KINDS]), F.col("kind"))
+    started = F.timestamp_micros("us_start")
     return (
-        found.join(key_summary(df, rules, by).where(F.col("reports") >= rules.min_reports), keys)
+        folded.where(~holding | F.col("us_trigger").isNotNull())
+        .join(key_summary(df, rules, by).where(F.col("reports") >= rules.min_reports), keys)
         .select(
             *by,
-            episode_id(F.col(c.key), F.col("event_type"), started).alias("event_id"),
-            "event_type",
+            episode_id(F.col(c.key), kind, started).alias("event_id"),
+            kind.alias("event_type"),
             F.col(c.key).cast("string").alias("icao24"),
             F.col("last_name").alias("callsign"),
-            F.when(holding, most_common).otherwise(F.col("place")).alias("location"),
+            F.when(holding, most_common_stack(rules))
+            .otherwise(point_id(F.col("place"), rules.runways))
+            .alias("location"),
             started.alias("started_at"),
-            ended.alias("ended_at"),
+            F.timestamp_micros("us_end").alias("ended_at"),
             F.floor((F.col("us_end") - F.col("us_start")) / SECOND).alias("duration_s"),
             F.timestamp_micros("us_trigger").alias("trigger_ts"),
             F.col("low").cast("double").alias("min_alt_ft"),
             F.col("high").cast("double").alias("max_alt_ft"),
-            (F.col("turn") / F.lit(float(MICRODEGREE))).alias("max_turn_deg"),
+            degrees(F.col("turn")).alias("max_turn_deg"),
             F.col("rows").alias("n_points"),
         )
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackflow.config import TrackRules
-from trackflow.functions.geo import heading_change, nearest
+from trackflow.functions.geo import heading_change, nearest, point_id
 from trackflow.functions.times import SECOND, bucket, micros
 
 MICRODEGREE = 1_000_000
@@ -26,19 +26,18 @@ def usable_reports(df: DataFrame, rules: TrackRules = TrackRules()) -> DataFrame
 
 
 def unique_reports(df: DataFrame, rules: TrackRules = TrackRules(), by: Sequence[str] = ()) -> DataFrame:
-    """One report per (key, instant), with the number of copies it stands for.
+    """One report per (key, instant).
 
-    The smallest report in column order is kept, so the result does not depend on row order. A
-    grouped minimum combines on the map side: a heap of copies of one report shrinks before the
-    shuffle.
+    The smallest report in column order is kept, with any name its copies carry, so the result does
+    not depend on row order. A grouped minimum combines on the map side: a heap of copies of one
+    report shrinks before the shuffle.
     """
     c = rules.columns
     keys = [*by, c.key]
-    values = [c.lat, c.lon, c.alt, c.vr, c.track, c.ground, c.name]
     return (
         df.groupBy(*keys, micros(F.col(c.ts)).alias("us"))
-        .agg(F.min(F.struct(*values)).alias("report"), F.count(F.lit(1)).alias("copies"))
-        .select(*keys, "us", "copies", "report.*")
+        .agg(F.min(F.struct(c.lat, c.lon, c.alt, c.vr, c.track, c.ground)).alias("report"), F.max(c.name).alias(c.name))
+        .select(*keys, "us", c.name, "report.*")
     )
 
 
@@ -87,62 +86,87 @@ def rolling_sum(value: Column, keys: Sequence[str], span_us: int) -> Column:
 
 
 def track_frames(
-    df: DataFrame, rules: TrackRules = TrackRules(), by: Sequence[str] = (), exact_gaps: bool = False
+    df: DataFrame,
+    rules: TrackRules = TrackRules(),
+    by: Sequence[str] = (),
+    exact_gaps: bool = False,
+    also: Sequence[Column] = (),
 ) -> DataFrame:
-    """Features of every report in every chunk it was copied to; ``home`` marks the owner."""
+    """Features of every report in every chunk it was copied to; ``home`` marks the owner.
+
+    ``also`` are further window columns over the same (key, chunk) order; they are computed in the
+    same pass as the rolling turn.
+    """
     c = rules.columns
     keys = [*by, c.key]
-    reports = unique_reports(usable_reports(df, rules), rules, by)
-    frames = in_chunks(reports, rules)
+    lat, lon, alt, us = F.col(c.lat), F.col(c.lon), F.col(c.alt), F.col("us")
+    reports = unique_reports(usable_reports(df, rules), rules, by).select(
+        *keys, "us", c.name, lat, lon, alt, c.vr, c.track, F.coalesce(F.col(c.ground), F.lit(False)).alias(c.ground),
+        nearest(lat, lon, rules.stacks).alias("stack"), nearest(lat, lon, rules.runways).alias("runway"),
+    )
+    placed = reports.select(
+        *[n for n in reports.columns if n not in ("stack", "runway")],
+        F.col("stack.dist").alias("dist_stack_nm"), F.col("stack.rank").alias("stack_rank"),
+        F.col("runway.dist").alias("dist_rwy_nm"), F.col("runway.rank").alias("rwy_rank"),
+    )
+    frames = in_chunks(placed, rules)
     if exact_gaps:
-        frames = with_carried_report(reports, frames, rules, keys)
+        frames = with_carried_report(placed, frames, rules, keys)
     w = chunk_window(keys)
-    stack, runway = (nearest(F.col(c.lat), F.col(c.lon), p) for p in (rules.stacks, rules.runways))
-    gap = (F.col("us") - F.lag("us").over(w)) / F.lit(float(SECOND))
-    turn = heading_change(F.col(c.track), F.lag(c.track).over(w))
-    climb = F.col(c.alt) - F.lag(c.alt).over(w)
+    gap = (us - F.col("prev_us")) / F.lit(float(SECOND))
+    turn = heading_change(F.col(c.track), F.col("prev_track"))
+    kept = [n for n in frames.columns if n != c.vr]
     return (
-        frames.withColumn("stack", stack)
-        .withColumn("runway", runway)
-        .withColumn("nearest_stack", F.col("stack.id"))
-        .withColumn("dist_stack_nm", F.col("stack.dist"))
-        .withColumn("nearest_rwy", F.col("runway.id"))
-        .withColumn("dist_rwy_nm", F.col("runway.dist"))
-        .drop("stack", "runway")
-        .withColumn(c.ground, F.coalesce(F.col(c.ground), F.lit(False)))
-        .withColumn("gap", gap)
-        .withColumn("dtrack", F.coalesce(F.when(F.col("gap") <= rules.turn_gap_s, turn), F.lit(0.0)))
-        .withColumn("turn_micro", F.round(F.col("dtrack") * MICRODEGREE).cast("long"))
-        .withColumn("cum_micro", rolling_sum(F.col("turn_micro"), keys, rules.turn_window_s * SECOND))
-        .withColumn("cum_turn_deg", F.col("cum_micro") / F.lit(float(MICRODEGREE)))
-        .withColumn(c.vr, F.coalesce(F.col(c.vr), climb / (F.col("gap") / 60.0)))
-        .withColumn("gap_s", F.coalesce(F.col("gap"), F.lit(0.0)))
-        .drop("gap")
+        frames.select(
+            "*", F.lag("us").over(w).alias("prev_us"), F.lag(c.track).over(w).alias("prev_track"),
+            F.lag(c.alt).over(w).alias("prev_alt"),
+        )
+        .select(
+            *kept,
+            F.coalesce(F.col(c.vr), (alt - F.col("prev_alt")) / (gap / 60.0)).alias(c.vr),
+            F.coalesce(gap, F.lit(0.0)).alias("gap_s"),
+            F.coalesce(F.when(gap <= rules.turn_gap_s, turn), F.lit(0.0)).alias("dtrack"),
+        )
+        .select("*", F.round(F.col("dtrack") * MICRODEGREE).cast("long").alias("turn_micro"))
+        .select(
+            "*", rolling_sum(F.col("turn_micro"), keys, rules.turn_window_s * SECOND).alias("cum_micro"), *also
+        )
     )
 
 
+def degrees(micro: Column) -> Column:
+    return micro / F.lit(float(MICRODEGREE))
+
+
 def track_features(df: DataFrame, rules: TrackRules = TrackRules(), by: Sequence[str] = ()) -> DataFrame:
     """One row per report: nearest points, heading change, gap, rolling turn, filled climb rate."""
     c = rules.columns
     return track_frames(df, rules, by, exact_gaps=True).where("home").select(
         *by, c.key, F.timestamp_micros("us").alias(c.ts), c.name, c.lat, c.lon, c.alt, c.vr, c.track, c.ground,
-        "nearest_stack", "dist_stack_nm", "nearest_rwy", "dist_rwy_nm", "dtrack", "gap_s", "cum_turn_deg",
+        point_id(F.col("stack_rank"), rules.stacks).alias("nearest_stack"), "dist_stack_nm",
+        point_id(F.col("rwy_rank"), rules.runways).alias("nearest_rwy"), "dist_rwy_nm",
+        "dtrack", "gap_s", degrees(F.col("cum_micro")).alias("cum_turn_deg"),
     )
 
 
 def in_stack_zone(rules: TrackRules) -> Column:
     c = rules.columns
-    return (
-        (F.col("dist_stack_nm") <= rules.stack_radius_nm)
-        & (F.col(c.alt) >= rules.stack_min_alt_ft)
-        & ~F.col(c.ground)
-    )
+    inside = (F.col("dist_stack_nm") <= rules.stack_radius_nm) & (F.col(c.alt) >= rules.stack_min_alt_ft)
+    return F.coalesce(inside & ~F.col(c.ground), F.lit(False))
 
 
 def is_low(rules: TrackRules) -> Column:
     c = rules.columns
-    return (
-        (F.col("dist_rwy_nm") <= rules.runway_radius_nm)
-        & (F.col(c.alt) < rules.low_alt_ft)
-        & ~F.col(c.ground)
-    )
+    near = (F.col("dist_rwy_nm") <= rules.runway_radius_nm) & (F.col(c.alt) < rules.low_alt_ft)
+    return F.coalesce(near & ~F.col(c.ground), F.lit(False))
+
+
+def is_climbing(rules: TrackRules) -> Column:
+    c = rules.columns
+    strong = (F.col(c.alt) > rules.climb_alt_ft) & (F.col(c.vr) > rules.climb_rate_fpm)
+    return F.coalesce(strong & ~F.col(c.ground), F.lit(False))
+
+
+def starts_run(pred: Column, keys: Sequence[str]) -> Column:
+    """True on the first row of each consecutive run of ``pred``."""
+    return pred & ~F.coalesce(F.lag(pred).over(chunk_window(keys)), F.lit(False))
