@@ -127,7 +127,7 @@ ALL_EPISODES = f"{FEATURES}, {visit_ctes()}, {holding_ctes()}, {approach_ctes()}
 )
 def haversine_distance(spark, sf_dir):
     p = STACKS[2]
-    nm = great_circle_nm(F.col("lat"), F.col("lon"), F.lit(p.lat), F.lit(p.lon))
+    nm = great_circle_nm("lat", "lon", f"{p.lat}D", f"{p.lon}D")
     return positions(spark, sf_dir).select("icao24", "event_ts", "lat", "lon", F.round(nm, 6).alias("nm"))
 
 
@@ -138,7 +138,7 @@ def haversine_distance(spark, sf_dir):
 )
 def nearest_point(spark, sf_dir):
     at = positions(spark, sf_dir).where("lat IS NOT NULL")
-    stack, rwy = (nearest(F.col("lat"), F.col("lon"), p) for p in (STACKS, RUNWAYS))
+    stack, rwy = (nearest("lat", "lon", p) for p in (STACKS, RUNWAYS))
     return rounded(
         at.select("icao24", "event_ts", stack.alias("s"), rwy.alias("r")).select(
             "icao24", "event_ts", point_id(F.col("s.rank"), STACKS).alias("nearest_stack"), F.col("s.dist").alias("dist_stack_nm"),

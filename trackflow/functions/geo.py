@@ -10,28 +10,32 @@ from pyspark.sql import functions as F
 from trackflow.config import EARTH_RADIUS_NM, Point
 
 
-def great_circle_nm(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Haversine distance in nautical miles; the clamp keeps antipodes inside asin's domain."""
-    half_dlat = F.radians(lat2 - lat1) / 2
-    half_dlon = F.radians(lon2 - lon1) / 2
-    h = F.pow(F.sin(half_dlat), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
-        F.sin(half_dlon), F.lit(2.0)
+def great_circle_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """Haversine distance in nautical miles as SQL text; the clamp keeps antipodes in asin's domain."""
+    h = (
+        f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) "
+        f"* pow(sin(radians({lon2} - {lon1}) / 2), 2)"
     )
-    return F.lit(2 * EARTH_RADIUS_NM) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    return f"{2 * EARTH_RADIUS_NM}D * asin(sqrt(least(1D, {h})))"
 
 
-def nearest(lat: Column, lon: Column, points: Sequence[Point]) -> Column:
+def great_circle_nm(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Distance between two positions given as column names or SQL expressions."""
+    return F.expr(great_circle_sql(lat1, lon1, lat2, lon2))
+
+
+def nearest(lat: str, lon: str, points: Sequence[Point]) -> Column:
     """Struct (dist, rank) of the closest point; ties go to the earlier one.
 
     The points are literals inside the projection, so no join and no shuffle is planned. The list
     is a parameter of the call and does not grow with the data. ``rank`` is the place in the list:
     a number travels cheaper through shuffles and aggregates than a name.
     """
-    candidates = [
-        F.struct(great_circle_nm(lat, lon, F.lit(p.lat), F.lit(p.lon)).alias("dist"), F.lit(rank).alias("rank"))
+    candidates = ", ".join(
+        f"named_struct('dist', {great_circle_sql(lat, lon, f'{p.lat}D', f'{p.lon}D')}, 'rank', {rank})"
         for rank, p in enumerate(points)
-    ]
-    return F.array_min(F.array(*candidates))
+    )
+    return F.expr(f"array_min(array({candidates}))")
 
 
 def point_id(rank: Column, points: Sequence[Point]) -> Column:

@@ -102,7 +102,7 @@ def track_frames(
     lat, lon, alt, us = F.col(c.lat), F.col(c.lon), F.col(c.alt), F.col("us")
     reports = unique_reports(usable_reports(df, rules), rules, by).select(
         *keys, "us", c.name, lat, lon, alt, c.vr, c.track, F.coalesce(F.col(c.ground), F.lit(False)).alias(c.ground),
-        nearest(lat, lon, rules.stacks).alias("stack"), nearest(lat, lon, rules.runways).alias("runway"),
+        nearest(c.lat, c.lon, rules.stacks).alias("stack"), nearest(c.lat, c.lon, rules.runways).alias("runway"),
     )
     placed = reports.select(
         *[n for n in reports.columns if n not in ("stack", "runway")],
