@@ -39,3 +39,8 @@ def query(name: str, check: str | None = None):
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column; distances differ between engines in the last bits."""
     return df.select(*[F.round(n, digits).alias(n) if t == "double" else F.col(n) for n, t in df.dtypes])
+
+
+def steady_sql(value: str, digits: int) -> str:
+    """Check SQL of ``steady_round``: decimal half-up rounding after cutting summation noise."""
+    return f"CAST(round(CAST({value} AS DECIMAL(18, 9)), {digits}) AS DOUBLE)"

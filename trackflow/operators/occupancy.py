@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackflow.config import STACKS, Point
+from trackflow.functions.numbers import steady_round
 from trackflow.functions.times import SECOND, bucket, micros
 
 MINUTE = 60 * SECOND
@@ -58,6 +59,6 @@ def occupancy_summary(occ: DataFrame, since: Column) -> DataFrame:
         .agg(
             F.max_by("holding_count", "minute").alias("now"),
             F.max("holding_count").alias("peak"),
-            F.round(F.avg("holding_count"), 2).alias("mean"),
+            steady_round(F.avg("holding_count"), 2).alias("mean"),
         )
     )

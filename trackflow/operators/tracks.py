@@ -91,16 +91,18 @@ def track_frames(
     by: Sequence[str] = (),
     exact_gaps: bool = False,
     also: Sequence[Column] = (),
+    complete: bool = True,
 ) -> DataFrame:
     """Features of every report in every chunk it was copied to; ``home`` marks the owner.
 
     ``also`` are further window columns over the same (key, chunk) order; they are computed in the
-    same pass as the rolling turn.
+    same pass as the rolling turn. ``complete`` leaves out reports without position or altitude.
     """
     c = rules.columns
     keys = [*by, c.key]
     lat, lon, alt, us = F.col(c.lat), F.col(c.lon), F.col(c.alt), F.col("us")
-    reports = unique_reports(usable_reports(df, rules), rules, by).select(
+    usable = usable_reports(df, rules) if complete else df.where(F.col(c.ts).isNotNull())
+    reports = unique_reports(usable, rules, by).select(
         *keys, "us", c.name, lat, lon, alt, c.vr, c.track, F.coalesce(F.col(c.ground), F.lit(False)).alias(c.ground),
         nearest(c.lat, c.lon, rules.stacks).alias("stack"), nearest(c.lat, c.lon, rules.runways).alias("runway"),
     )

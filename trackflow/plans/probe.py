@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackflow.config import TURN_BUCKETS, TURN_CANDIDATES, TURN_LABELS, TrackRules
 from trackflow.functions.geo import nearest
-from trackflow.operators.episodes import key_summary, most_common_stack
+from trackflow.operators.episodes import most_common_stack
 from trackflow.operators.tracks import degrees, in_stack_zone, track_frames
 
 
@@ -32,7 +32,7 @@ def zone_probe(df: DataFrame, rules: TrackRules = TrackRules(), min_points: int
     """
     c = rules.columns
     wanted = df.join(candidates(df, rules), c.key, "left_semi")
-    frames = track_frames(wanted, rules, exact_gaps=True).where("home")
+    frames = track_frames(wanted, rules, exact_gaps=True, complete=False).where("home")
     zone = in_stack_zone(rules)
 
     def inside(value: Column) -> Column:
@@ -52,9 +52,15 @@ def zone_probe(df: DataFrame, rules: TrackRules = TrackRules(), min_points: int
         F.max(inside(F.col("gap_s"))).alias("gap"),
         *tallies,
     )
-    enough = key_summary(wanted, rules).where(F.col("reports") >= min_points)
+    named = F.when(F.col(c.name).isNotNull(), F.struct(c.ts, c.name))
+    enough = (
+        wanted.groupBy(c.key)
+        .agg(F.count(F.lit(1)).alias("reports"), F.min(named).alias("named"))
+        .where(F.col("reports") >= min_points)
+    )
     return folded.where("points_in_zone > 0").join(enough, c.key).select(
         c.key,
+        F.col("named")[c.name].alias(c.name),
         most_common_stack(rules).alias("stack"),
         "points_in_zone",
         F.round((F.col("us1") - F.col("us0")) / 60e6, 1).alias("minutes_in_zone"),
@@ -96,7 +102,7 @@ def threshold_sweep(probe: DataFrame, thresholds: Sequence[float] = TURN_CANDIDA
         .groupBy("threshold")
         .agg(F.count(F.lit(1)).alias("n"), F.percentile("minutes_in_zone", F.lit(0.5)).alias("median_min"))
     )
-    wanted = probe.sparkSession.createDataFrame([(int(t),) for t in thresholds], "threshold INT")
+    wanted = probe.sparkSession.range(1).select(F.explode(F.array(*[F.lit(int(t)) for t in thresholds])).alias("threshold"))
     return wanted.join(hits, "threshold", "left").select(
         "threshold", F.coalesce("n", F.lit(0)).alias("keys"), "median_min"
     )

@@ -59,7 +59,7 @@ def object_reports(responses: DataFrame) -> DataFrame:
             units.fpm_to_ms(climb).alias("vertical_rate"),
             units.feet_to_metres(number_or_null(r("r.alt_geom"))).alias("geo_altitude"),
             r("r.squawk").alias("squawk"),
-            ~F.coalesce(r("r.spi"), F.lit("0")).isin("0", "false", "").alias("spi"),
+            (~F.coalesce(r("r.spi"), F.lit("0")).isin("0", "false", "")).alias("spi"),
             F.lit(None).alias("position_source"),
             F.lit(None).alias("category"),
         )
