@@ -33,7 +33,7 @@ def distance_sql(lat: str, lon: str, p) -> str:
         f"pow(sin(radians({p.lat}e0 - {lat}) / 2), 2) + cos(radians({lat})) * cos(radians({p.lat}e0)) "
         f"* pow(sin(radians({p.lon}e0 - {lon}) / 2), 2)"
     )
-    return f"{2 * EARTH_RADIUS_NM!r}e0 * asin(sqrt(least(1e0, {h})))"
+    return f"CASE WHEN {lat} IS NOT NULL AND {lon} IS NOT NULL THEN {2 * EARTH_RADIUS_NM!r}e0 * asin(sqrt(least(1e0, {h}))) END"
 
 
 def nearest_sql(prefix: str, points, lat="lat", lon="lon") -> str:

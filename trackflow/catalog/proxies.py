@@ -112,6 +112,9 @@ SELECT $uuid('e' || event_id) AS event_id,
 FROM events
 """
 
+# Position reports at the real time of their events, to go with the queue above.
+TRACKS = POSITIONS.replace(_SEC, _START)
+
 # Assessments and reviews of the first events, one row per document / label.
 ASSESSMENTS = """
 SELECT doc_id AS assessment_id, $uuid('e' || (doc_id $div 3)) AS event_id,

@@ -11,12 +11,16 @@ from trackflow.config import EARTH_RADIUS_NM, Point
 
 
 def great_circle_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    """Haversine distance in nautical miles as SQL text; the clamp keeps antipodes in asin's domain."""
+    """Haversine distance in nautical miles as SQL text; null when a coordinate is.
+
+    The clamp keeps antipodes in asin's domain. ``least`` skips nulls, hence the outer test.
+    """
     h = (
         f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) "
         f"* pow(sin(radians({lon2} - {lon1}) / 2), 2)"
     )
-    return f"{2 * EARTH_RADIUS_NM}D * asin(sqrt(least(1D, {h})))"
+    known = f"{lat1} + {lon1} + {lat2} + {lon2} IS NOT NULL"
+    return f"CASE WHEN {known} THEN {2 * EARTH_RADIUS_NM}D * asin(sqrt(least(1D, {h}))) END"
 
 
 def great_circle_nm(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trackflow.config import TURN_BUCKETS, TURN_CANDIDATES, TURN_LABELS, TrackRules
 from trackflow.functions.geo import nearest
+from trackflow.functions.numbers import steady_round
 from trackflow.operators.episodes import most_common_stack
 from trackflow.operators.tracks import degrees, in_stack_zone, track_frames
 
@@ -63,11 +64,11 @@ def zone_probe(df: DataFrame, rules: TrackRules = TrackRules(), min_points: int
         F.col("named")[c.name].alias(c.name),
         most_common_stack(rules).alias("stack"),
         "points_in_zone",
-        F.round((F.col("us1") - F.col("us0")) / 60e6, 1).alias("minutes_in_zone"),
-        F.round("min_dist", 1).alias("min_dist_nm"),
+        steady_round((F.col("us1") - F.col("us0")) / 60e6, 1).alias("minutes_in_zone"),
+        steady_round(F.col("min_dist"), 1).alias("min_dist_nm"),
         F.col("low").cast("long").alias("min_alt_ft"),
         F.col("high").cast("long").alias("max_alt_ft"),
-        F.round(degrees(F.col("turn"))).alias("max_turn_deg"),
+        steady_round(degrees(F.col("turn")), 0).alias("max_turn_deg"),
         F.col("gap").cast("long").alias("max_gap_s"),
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trackflow.config import OPEN_STATUSES, STATUSES, TrackRules
 from trackflow.functions.geo import nearest, point_id
+from trackflow.functions.numbers import steady_round
 from trackflow.functions.text import display_name
 from trackflow.operators.joins import flag_members
 from trackflow.plans.analytics import after
@@ -33,7 +34,7 @@ def live_picture(positions: DataFrame, queue: DataFrame, now: Column, minutes: i
     flying = after(positions, "event_ts", now, f"{minutes} MINUTES").where("NOT coalesce(on_ground, false)")
     seen = latest_by(flying, "icao24", "event_ts", ["callsign", "lat", "lon", "alt_ft"])
     return flag_members(seen, active_keys(queue, now), "icao24", "holding").select(
-        "icao24", "callsign", "lat", "lon", F.round("alt_ft").alias("alt_ft"), F.col("event_ts").alias("last_seen"),
+        "icao24", "callsign", "lat", "lon", steady_round(F.col("alt_ft"), 0).alias("alt_ft"), F.col("event_ts").alias("last_seen"),
         "holding", display_name(F.col("callsign"), F.col("icao24")).alias("label"),
     )
 
@@ -74,7 +75,7 @@ def event_queue(
     return (
         picked.select(
             "event_id", "event_type", "location", "icao24", "callsign", "started_at", "ended_at",
-            F.round(F.col("duration_s") / 60.0, 1).alias("duration_min"), "status", "trigger_ts", "first_detected_at",
+            steady_round(F.col("duration_s") / 60.0, 1).alias("duration_min"), "status", "trigger_ts", "first_detected_at",
         )
         .join(said, "event_id", "left")
         .join(judged, "event_id", "left")
@@ -149,12 +150,12 @@ def downsample(positions: DataFrame, unit: str = "minute", rules: TrackRules = T
     """One row per key and minute: means, first heading, ground flag, and nearest points."""
     first = F.min(F.when(F.col("track_deg").isNotNull(), F.struct("event_ts", "track_deg")))["track_deg"]
     cut = positions.groupBy("icao24", F.date_trunc(unit, "event_ts").alias("minute")).agg(
-        F.round(F.avg("lat"), 4).alias("lat"),
-        F.round(F.avg("lon"), 4).alias("lon"),
-        F.round(F.avg("alt_ft")).alias("alt_ft"),
-        F.round(F.avg("speed_kt")).alias("speed_kt"),
-        F.round(first).alias("track_deg"),
-        F.round(F.avg("vr_fpm")).alias("vr_fpm"),
+        steady_round(F.avg("lat"), 4).alias("lat"),
+        steady_round(F.avg("lon"), 4).alias("lon"),
+        steady_round(F.avg("alt_ft"), 0).alias("alt_ft"),
+        steady_round(F.avg("speed_kt"), 0).alias("speed_kt"),
+        steady_round(first, 0).alias("track_deg"),
+        steady_round(F.avg("vr_fpm"), 0).alias("vr_fpm"),
         F.max("on_ground").alias("on_ground"),
     )
     near = cut.select(
@@ -165,9 +166,9 @@ def downsample(positions: DataFrame, unit: str = "minute", rules: TrackRules = T
     return near.select(
         *columns,
         F.when(located, point_id(F.col("stack.rank"), rules.stacks)).alias("nearest_stack"),
-        F.round("stack.dist", 1).alias("dist_stack_nm"),
+        steady_round(F.col("stack.dist"), 1).alias("dist_stack_nm"),
         F.when(located, point_id(F.col("rwy.rank"), rules.runways)).alias("nearest_rwy"),
-        F.round("rwy.dist", 1).alias("dist_rwy_nm"),
+        steady_round(F.col("rwy.dist"), 1).alias("dist_rwy_nm"),
     )
 
 
