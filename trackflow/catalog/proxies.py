@@ -114,6 +114,7 @@ FROM events
 
 # Position reports at the real time of their events, to go with the queue above.
 TRACKS = POSITIONS.replace(_SEC, _START)
+RAW_TRACKS = RAW_STATES.replace(_SEC, _START)
 
 # Assessments and reviews of the first events, one row per document / label.
 ASSESSMENTS = """
