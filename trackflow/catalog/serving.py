@@ -199,7 +199,7 @@ def freshness_lag(spark, sf_dir):
     SELECT icao24, min(event_ts) AS started_at, max(event_ts) AS ended_at, count(*) AS reports FROM n GROUP BY icao24, session""",
 )
 def sessions(spark, sf_dir):
-    return session_counts(positions(spark, sf_dir))
+    return session_counts(positions(spark, sf_dir), chunk_s=600)
 
 
 # --- evidence --------------------------------------------------------------------------------

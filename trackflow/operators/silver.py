@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackflow.functions import units
 from trackflow.functions.geo import ceiling
-from trackflow.functions.text import blank_to_null, clean_key, json_double, json_int
+from trackflow.functions.text import blank_to_null, clean_key
 from trackflow.functions.times import whole_seconds
 
 
@@ -73,21 +73,26 @@ def clean_states(states: DataFrame, reference: DataFrame, max_age_s: float = 60,
     return enrich(unique.withColumn("event_date", F.to_date("event_ts")), reference)
 
 
+REPORT = (
+    "wdir STRING, wspd STRING, wgst STRING, visib STRING, clouds ARRAY<STRUCT<cover: STRING, base: INT>>, "
+    "fltCat STRING, rawOb STRING, rawTAF STRING"
+)
+
+
 def parse_weather(raw: DataFrame) -> DataFrame:
-    """Columns of each report; text where a number is expected reads as null."""
-    j = F.col("raw_json")
-    clouds = F.from_json(F.get_json_object(j, "$.clouds"), "array<struct<cover:string,base:int>>")
-    return raw.select(
+    """Columns of each report, from one parse of its JSON; text where a number is expected reads as null."""
+    fetched = raw.select("kind", "obs_time", "fetched_at", F.from_json("raw_json", REPORT).alias("r"))
+    return fetched.select(
         "kind",
         F.timestamp_seconds("obs_time").alias("obs_time"),
         whole_seconds(F.col("fetched_at")).alias("fetched_ts"),
-        json_int(j, "$.wdir").alias("wind_dir_deg"),
-        json_int(j, "$.wspd").alias("wind_kt"),
-        json_int(j, "$.wgst").alias("gust_kt"),
-        json_double(j, "$.visib").alias("visibility_sm"),
-        ceiling(clouds).alias("ceiling_ft"),
-        F.get_json_object(j, "$.fltCat").alias("flight_category"),
-        F.coalesce(F.get_json_object(j, "$.rawOb"), F.get_json_object(j, "$.rawTAF")).alias("raw_text"),
+        F.col("r.wdir").try_cast("int").alias("wind_dir_deg"),
+        F.col("r.wspd").try_cast("int").alias("wind_kt"),
+        F.col("r.wgst").try_cast("int").alias("gust_kt"),
+        F.replace("r.visib", F.lit("+"), F.lit("")).try_cast("double").alias("visibility_sm"),
+        ceiling(F.col("r.clouds")).alias("ceiling_ft"),
+        F.col("r.fltCat").alias("flight_category"),
+        F.coalesce("r.rawOb", "r.rawTAF").alias("raw_text"),
     )
 
 

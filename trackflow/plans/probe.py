@@ -55,7 +55,7 @@ def zone_probe(df: DataFrame, rules: TrackRules = TrackRules(), min_points: int
     )
     named = F.when(F.col(c.name).isNotNull(), F.struct(c.ts, c.name))
     enough = (
-        wanted.groupBy(c.key)
+        df.groupBy(c.key)
         .agg(F.count(F.lit(1)).alias("reports"), F.min(named).alias("named"))
         .where(F.col("reports") >= min_points)
     )
