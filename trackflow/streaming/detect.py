@@ -54,6 +54,19 @@ def later_or_new(found: DataFrame, current: DataFrame) -> DataFrame:
     return found.join(known, "event_id", "left").where("known_end IS NULL OR ended_at > known_end").drop("known_end")
 
 
+def write_entries(found: DataFrame, batch_id: int, path: str, now: Column) -> None:
+    """Log entries of one batch; a repeated batch replaces its own partitions."""
+    (
+        found.withColumn("detected_at", now)
+        .withColumn("event_date", F.to_date("started_at"))
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date", "batch_id")
+        .parquet(path)
+    )
+
+
 def detect_stream(
     positions: DataFrame,
     history: Callable[[], DataFrame],
@@ -78,16 +91,7 @@ def detect_stream(
         earlier = read_log(spark, log_path).where(
             (F.col("event_date") >= F.to_date(start)) & (F.col("batch_id") < batch_id)
         )
-        (
-            later_or_new(found, fold_log(earlier))
-            .withColumn("detected_at", now())
-            .withColumn("event_date", F.to_date("started_at"))
-            .withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date", "batch_id")
-            .parquet(log_path)
-        )
+        write_entries(later_or_new(found, fold_log(earlier)), batch_id, log_path, now())
 
     spark.createDataFrame([], LOG_SCHEMA).write.mode("append").parquet(log_path)
     trigger = {"processingTime": every} if every else {"availableNow": True}
