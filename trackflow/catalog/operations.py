@@ -11,7 +11,7 @@ from trackflow.operators import cdc, occupancy, upsert
 from trackflow.plans import analytics as A
 
 DAY = 86400
-SPAN = (P.EPOCH + 10 * DAY, P.EPOCH + 12 * DAY)  # two days of minutes
+SPAN = (P.EPOCH, P.EPOCH + 31 * DAY)  # every minute the events touch
 NOW_TEXT = "2024-01-20 12:00:00"
 NOW_SQL = f"TIMESTAMP '{NOW_TEXT}'"
 
@@ -32,9 +32,11 @@ _STACK_LIST = ", ".join(f"'{p.id}'" for p in STACKS)
 _OCC = f"""
 grid AS (SELECT m AS minute, s AS stack FROM (SELECT unnest(generate_series(make_timestamp({SPAN[0]}000000), make_timestamp({SPAN[1]}000000), INTERVAL 1 MINUTE)) AS m),
          (SELECT unnest([{_STACK_LIST}]) AS s)),
-occ AS (SELECT g.minute, g.stack, CAST(count(DISTINCT e.icao24) AS INTEGER) AS holding_count FROM grid g LEFT JOIN e
-        ON e.event_type = 'holding' AND e.location = g.stack AND e.started_at <= g.minute + INTERVAL 1 MINUTE AND e.ended_at >= g.minute
-        GROUP BY g.minute, g.stack)"""
+near AS (SELECT *, unnest(generate_series(date_trunc('minute', started_at) - INTERVAL 1 MINUTE, date_trunc('minute', ended_at), INTERVAL 1 MINUTE)) AS minute
+         FROM e WHERE event_type = 'holding'),
+touched AS (SELECT * FROM near WHERE started_at <= minute + INTERVAL 1 MINUTE AND ended_at >= minute),
+occ AS (SELECT g.minute, g.stack, CAST(count(DISTINCT t.icao24) AS INTEGER) AS holding_count FROM grid g
+        LEFT JOIN touched t ON t.location = g.stack AND t.minute = g.minute GROUP BY g.minute, g.stack)"""
 _HOURLY = f"""
 hourly AS (SELECT date_trunc('hour', started_at) AS hour, count(*) FILTER (event_type = 'holding') AS holding_flights,
   {steady_sql("avg(duration_s / 60e0) FILTER (event_type = 'holding')", 1)} AS mean_hold_min,
@@ -50,11 +52,11 @@ def occupancy_per_minute(spark, sf_dir):
 @query(
     "occupancy_summary",
     f"""{EPS}, {_OCC} SELECT stack, max_by(holding_count, minute) AS now, max(holding_count) AS peak, {steady_sql('avg(holding_count)', 2)} AS mean
-    FROM occ WHERE minute > make_timestamp({SPAN[1] - 7200}000000) GROUP BY stack""",
+    FROM occ WHERE minute > make_timestamp({SPAN[1] - 2 * DAY}000000) GROUP BY stack""",
 )
 def occupancy_summary(spark, sf_dir):
     occ = occupancy.occupancy(episodes(spark, sf_dir), *SPAN)
-    return occupancy.occupancy_summary(occ, F.timestamp_seconds(F.lit(SPAN[1] - 7200)))
+    return occupancy.occupancy_summary(occ, F.timestamp_seconds(F.lit(SPAN[1] - 2 * DAY)))
 
 
 @query("hourly_rollup", f"{EPS}, {_HOURLY} SELECT * FROM hourly")
@@ -135,14 +137,14 @@ def changed_episodes(spark, sf_dir):
 
 @query(
     "merge_occupancy",
-    f"""{EPS}, {_OCC}, old AS (SELECT minute, stack, holding_count + 1 AS holding_count FROM occ WHERE minute < make_timestamp({SPAN[0] + DAY}000000)),
-    new AS (SELECT * FROM occ WHERE minute >= make_timestamp({SPAN[0] + DAY - 1800}000000))
+    f"""{EPS}, {_OCC}, old AS (SELECT minute, stack, holding_count + 1 AS holding_count FROM occ WHERE minute < make_timestamp({SPAN[0] + 15 * DAY}000000)),
+    new AS (SELECT * FROM occ WHERE minute >= make_timestamp({SPAN[0] + 15 * DAY - 1800}000000))
     SELECT coalesce(new.minute, old.minute) AS minute, coalesce(new.stack, old.stack) AS stack,
     coalesce(new.holding_count, old.holding_count) AS holding_count FROM old FULL OUTER JOIN new ON old.minute = new.minute AND old.stack = new.stack""",
 )
 def merge_occupancy(spark, sf_dir):
     occ = occupancy.occupancy(episodes(spark, sf_dir), *SPAN)
-    cut = F.timestamp_seconds(F.lit(SPAN[0] + DAY))
+    cut = F.timestamp_seconds(F.lit(SPAN[0] + 15 * DAY))
     old = occ.where(F.col("minute") < cut).withColumn("holding_count", F.col("holding_count") + 1)
     new = occ.where(F.col("minute") >= cut - F.expr("INTERVAL 30 MINUTES"))
     return upsert.replace_by_key(old, new, ["minute", "stack"])

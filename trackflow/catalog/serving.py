@@ -46,15 +46,15 @@ def flag_active_keys(spark, sf_dir):
 
 @query(
     "track_window",
-    """WITH t AS (SELECT CAST(ts AS TIMESTAMP) AS event_ts, value AS alt_ft FROM events
-      WHERE user_id = 3 AND ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00') SELECT * FROM t""",
+    """SELECT user_id AS icao24, ts AS event_ts, value AS alt_ft FROM events
+    WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00'""",
 )
 def track_window(spark, sf_dir):
     reports = P.table(spark, sf_dir, "events").select(
         F.col("user_id").alias("icao24"), F.col("ts").alias("event_ts"), F.col("value").alias("alt_ft")
     )
     first, last = (F.lit(t).cast("timestamp_ntz") for t in ("2024-01-05 00:00:00", "2024-01-25 00:00:00"))
-    return L.track_window(reports, 3, first, last, ["alt_ft"])
+    return L.track_window(reports, first, last, ["alt_ft"])
 
 
 @query("lookback_filter", f"SELECT event_id, user_id, ts FROM events WHERE ts > {NOW_SQL} - INTERVAL 180 MINUTE")
@@ -68,10 +68,10 @@ cut AS (SELECT icao24, date_trunc('minute', event_ts) AS minute, {steady_sql('av
   {steady_sql('avg(alt_ft)', 0)} AS alt_ft, {steady_sql('avg(speed_kt)', 0)} AS speed_kt,
   {steady_sql("(min({t: event_ts, v: track_deg}) FILTER (track_deg IS NOT NULL)).v", 0)} AS track_deg,
   {steady_sql('avg(vr_fpm)', 0)} AS vr_fpm, max(on_ground) AS on_ground FROM p GROUP BY ALL),
-near AS (SELECT *, {nearest_sql('stack', STACKS)}, {nearest_sql('rwy', RUNWAYS)} FROM cut),
+placed AS (SELECT *, {nearest_sql('stack', STACKS)}, {nearest_sql('rwy', RUNWAYS)} FROM cut),
 minutes AS (SELECT icao24, minute, alt_ft, speed_kt, track_deg, vr_fpm, on_ground, CASE WHEN lat IS NOT NULL THEN nearest_stack END AS nearest_stack,
   CASE WHEN lat IS NOT NULL THEN {steady_sql('dist_stack_nm', 1)} END AS dist_stack_nm, CASE WHEN lat IS NOT NULL THEN nearest_rwy END AS nearest_rwy,
-  CASE WHEN lat IS NOT NULL THEN {steady_sql('dist_rwy_nm', 1)} END AS dist_rwy_nm FROM near)"""
+  CASE WHEN lat IS NOT NULL THEN {steady_sql('dist_rwy_nm', 1)} END AS dist_rwy_nm FROM placed)"""
 
 
 @query("track_downsample", f"{TRACKS}, {_MINUTES} SELECT * FROM minutes")

@@ -140,10 +140,14 @@ def forecast_series(forecasts: DataFrame, now: Column, hours: int = 48) -> DataF
     )
 
 
-def track_window(positions: DataFrame, key: str, start: Column, end: Column, columns: Sequence[str]) -> DataFrame:
-    """Reports of one key between two instants, in order."""
-    wanted = positions.where((F.col("icao24") == key) & F.col("event_ts").between(start, end))
-    return wanted.select("event_ts", *columns).orderBy("event_ts")
+def track_window(
+    positions: DataFrame, start: Column, end: Column, columns: Sequence[str], key: str | None = None
+) -> DataFrame:
+    """Reports between two instants, in order: of one key, or of all."""
+    wanted = positions.where(F.col("event_ts").between(start, end))
+    if key is not None:
+        wanted = wanted.where(F.col("icao24") == key)
+    return wanted.select("icao24", "event_ts", *columns).orderBy("icao24", "event_ts")
 
 
 def downsample(positions: DataFrame, unit: str = "minute", rules: TrackRules = TrackRules()) -> DataFrame:

@@ -195,12 +195,20 @@ def write_found(
 ) -> StreamingQuery:
     """Append what ``track_stream`` finds to an episode log. The state lives in RocksDB."""
     spark = positions.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
     spark.createDataFrame([], LOG_SCHEMA).write.mode("append").parquet(log_path)
     trigger = {"processingTime": every} if every else {"availableNow": True}
+    spark.conf.set(setting, STATE_STORE)
+    try:  # a query keeps the settings it was started with
+        return _start(track_stream(positions, rules), log_path, checkpoint, trigger)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _start(found: DataFrame, log_path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     return (
-        track_stream(positions, rules)
-        .writeStream.foreachBatch(lambda batch, n: write_entries(batch, n, log_path, F.current_timestamp()))
+        found.writeStream.foreachBatch(lambda batch, n: write_entries(batch, n, log_path, F.current_timestamp()))
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
