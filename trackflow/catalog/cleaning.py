@@ -340,15 +340,16 @@ def constraint_violations(spark, sf_dir):
 DRAFTS = """
 SELECT doc_id AS assessment_id, CASE WHEN doc_id % 13 = 4 THEN 'e' || doc_id ELSE $uuid('e' || doc_id) END AS event_id,
        CASE lang WHEN 'en' THEN 'wind' WHEN 'fr' THEN 'low_visibility_cloud' ELSE lang END AS cause,
-       CAST(n_chars % 5 AS INT) AS severity, CAST(n_chars % 120 AS DOUBLE) / 1e2 AS confidence, text AS reasoning
+       CAST(n_chars % 5 AS INT) AS severity, CAST(n_chars % 120 AS DOUBLE) / 1e2 AS confidence, text AS reasoning,
+       source || '/' || lang AS evidence_summary
 FROM documents
 """
 
 
 @query(
     "validate_assessments",
-    f"""{P.ctes(d=DRAFTS)} SELECT * REPLACE (substr(reasoning, 1, 4000) AS reasoning), concat_ws(',',
-      CASE WHEN NOT regexp_matches(event_id, '{config.UUID_PATTERN}') THEN 'event_id' END,
+    f"""{P.ctes(d=DRAFTS)} SELECT * EXCLUDE (evidence_summary) REPLACE (substr(reasoning, 1, 4000) AS reasoning), '{{"summary":"' || evidence_summary || '"}}' AS evidence,
+      concat_ws(',', CASE WHEN NOT regexp_matches(event_id, '{config.UUID_PATTERN}') THEN 'event_id' END,
       CASE WHEN cause NOT IN ('wind', 'low_visibility_cloud', 'runway_change', 'traffic_volume', 'other') THEN 'cause' END,
       CASE WHEN severity NOT BETWEEN 1 AND 3 THEN 'severity' END, CASE WHEN confidence NOT BETWEEN 0 AND 1 THEN 'confidence' END) AS reasons FROM d""",
 )
@@ -360,12 +361,13 @@ def validate_assessments(spark, sf_dir):
     "validate_forecasts",
     f"""{P.ctes(f=P.FORECASTS)}, c AS (SELECT *, concat_ws(',', CASE WHEN predicted_mean_hold_min NOT BETWEEN 0 AND 120 THEN 'mean' END,
       CASE WHEN predicted_holding_flights NOT BETWEEN 0 AND 200 THEN 'flights' END,
-      CASE WHEN target_hour NOT BETWEEN TIMESTAMP '2024-01-15 11:20:00' AND TIMESTAMP '2024-01-15 15:20:00' THEN 'target_hour' END) AS reasons FROM f)
-    SELECT forecast_id, target_hour, model_version, reasons FROM c""",
+      CASE WHEN date_trunc('hour', target_hour) NOT BETWEEN TIMESTAMP '2024-01-15 11:20:00' AND TIMESTAMP '2024-01-15 15:20:00' THEN 'target_hour' END) AS reasons FROM f)
+    SELECT forecast_id, date_trunc('hour', target_hour) AS target_hour, model_version, substr(rationale, 1, 2000) AS rationale, reasons FROM c""",
 )
 def validate_forecasts(spark, sf_dir):
-    marked = Q.with_reasons(P.load(spark, sf_dir, P.FORECASTS), Q.forecast_rules("2024-01-15 12:20:00"))
-    return marked.select("forecast_id", "target_hour", "model_version", "reasons")
+    drafts = P.load(spark, sf_dir, P.FORECASTS).withColumn("target_hour", F.col("target_hour") + F.expr("INTERVAL 7 MINUTES"))
+    marked = Q.checked_forecasts(drafts, "2024-01-15 12:20:00")
+    return marked.select("forecast_id", "target_hour", "model_version", "rationale", "reasons")
 
 
 @query("append_log", f"{P.ctes(c=P.CALLS)} SELECT * FROM c UNION ALL SELECT * FROM c")

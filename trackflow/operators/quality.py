@@ -104,6 +104,25 @@ def forecast_rules(now: str) -> Rules:
     }
 
 
+REASONING_LENGTH = 4000
+SUMMARY_LENGTH = 2000
+
+
 def checked_assessments(df: DataFrame) -> DataFrame:
-    """Assessments with their broken rules; long texts are cut to the stored length."""
-    return with_reasons(df, ASSESSMENT_RULES).withColumn("reasoning", F.substring("reasoning", 1, 4000))
+    """Assessments with their broken rules; texts are stored up to a fixed length, the summary as JSON."""
+    summary = F.substring("evidence_summary", 1, SUMMARY_LENGTH).alias("summary")
+    return (
+        with_reasons(df, ASSESSMENT_RULES)
+        .withColumn("reasoning", F.substring("reasoning", 1, REASONING_LENGTH))
+        .withColumn("evidence", F.to_json(F.struct(summary)))
+        .drop("evidence_summary")
+    )
+
+
+def checked_forecasts(df: DataFrame, now: str) -> DataFrame:
+    """Forecasts with their broken rules; the target is the hour it falls in."""
+    return (
+        with_reasons(df, forecast_rules(now))
+        .withColumn("target_hour", F.date_trunc("hour", "target_hour"))
+        .withColumn("rationale", F.substring("rationale", 1, SUMMARY_LENGTH))
+    )
