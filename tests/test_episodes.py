@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tests.tracks import POINTS, SCHEMA, T0, approach, circling, fly
 from trackflow.config import TrackRules
+from trackflow.functions.geo import great_circle_nm
 from trackflow.operators.episodes import conform, episodes, episodes_in_window, redetected_ids, visits
-from trackflow.operators.tracks import track_features
+from trackflow.operators.tracks import track_features, track_frames
 
 RULES = TrackRules()
 GO_AROUND = [(210, 0, -700, False), (150, 0, 1800, False), (60, 0, 0, False)]
@@ -187,3 +188,27 @@ def test_against_brute_force(spark):
         for kind, a, b, n in brute_force([r for r in rows if r[0] == key])
     }
     assert got == want and len(want) > 20
+
+
+def test_a_busy_key_spreads_over_chunks(spark):
+    """No window partition holds more than a chunk and its borders, copies of a report not counted."""
+    rules = replace(RULES, chunk_s=900)
+    seconds = spark.range(20_000).select(F.explode(F.array(F.col("id"), F.col("id"))).alias("s"))
+    df = seconds.select(
+        F.lit("hot").alias("icao24"), F.lit("H").alias("callsign"), F.timestamp_seconds(F.col("s") + 1_700_000_000).alias("event_ts"),
+        F.lit(51.7).alias("lat"), F.lit(-0.5).alias("lon"), F.lit(9000.0).alias("alt_ft"), F.lit(0.0).alias("vr_fpm"),
+        (F.col("s") * 3 % 360).cast("double").alias("track_deg"), F.lit(False).alias("on_ground"),
+    )
+    sizes = track_frames(df, rules).groupBy("icao24", "chunk").agg(F.count("*").alias("n"), F.count_if("home").alias("own"))
+    largest, own, chunks = sizes.agg(F.max("n"), F.sum("own"), F.count("*")).first()
+    assert largest <= rules.chunk_s + rules.back_s + rules.ahead_s and own == 20_000 and chunks >= 20_000 // 900
+    (e,) = episodes(df, rules).collect()
+    assert (e.n_points, e.duration_s) == (20_000, 19_999)
+
+
+def test_distance_is_null_without_a_position(spark):
+    df = spark.createDataFrame([(51.0, 0.0), (None, 0.0)], "lat double, lon double")
+    far, none = df.select(great_circle_nm("lat", "lon", "52D", "0D").alias("nm")).collect()
+    assert round(far.nm, 3) == 60.040 and none.nm is None
+    (opposite,) = spark.range(1).select(great_circle_nm("0D", "0D", "0D", "180D").alias("nm")).collect()
+    assert round(opposite.nm, 1) == 10807.3
