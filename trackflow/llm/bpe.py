@@ -9,6 +9,7 @@ from __future__ import annotations
 import heapq
 import json
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -20,8 +21,10 @@ from trackflow.llm.work import map_rows
 
 # The public pattern of byte-level BPE.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_WORDS = 300_000
-CACHED_CHARS = 64
+CACHED = 200_000
+CACHED_CHARS = 32
+#: White space other than single spaces and newlines between words; a text with any of these is split by the pattern.
+UNEVEN = ("  ", "\n\n", " \n", "\n ", "\0", *map(chr, [*range(9, 10), *range(11, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def byte_symbols() -> list[str]:
@@ -31,47 +34,56 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-def merged(ids: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+def merged(ids: list[int], ranks: dict[int, int], made: list[int]) -> list[int]:
     """Apply the merges to a word's symbols, lowest rank first, leftmost first among equals."""
     n = len(ids)
-    before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-    heap = []
-    for i in range(n - 1):
-        if found := merges.get((ids[i], ids[i + 1])):
-            heap.append((found[0], i, ids[i], ids[i + 1], found[1]))
+    rank_at = [ranks.get(a << 32 | b, -1) for a, b in zip(ids, ids[1:])]  # of the pair that begins here; -1: none
+    rank_at.append(-1)
+    heap = [r << 32 | i for i, r in enumerate(rank_at) if r >= 0]
     heapq.heapify(heap)
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    pop, push, rank = heapq.heappop, heapq.heappush, ranks.get
     while heap:
-        _, i, left, right, new = heapq.heappop(heap)
+        entry = pop(heap)
+        i, r = entry & 0xFFFFFFFF, entry >> 32
+        if rank_at[i] != r:
+            continue  # stale: this pair has changed
         j = after[i]
-        if j < 0 or ids[i] != left or ids[j] != right:
-            continue
-        ids[i], ids[j] = new, -1
+        new = ids[i] = made[r]
+        ids[j] = rank_at[j] = -1
         k = after[i] = after[j]
-        after[j] = -1
-        if k >= 0:
+        r = -1
+        if k < n:
             before[k] = i
-            if found := merges.get((new, ids[k])):
-                heapq.heappush(heap, (found[0], i, new, ids[k], found[1]))
+            r = rank(new << 32 | ids[k], -1)
+            if r >= 0:
+                push(heap, r << 32 | i)
+        rank_at[i] = r
         h = before[i]
-        if h >= 0 and (found := merges.get((ids[h], new))):
-            heapq.heappush(heap, (found[0], h, ids[h], new, found[1]))
+        if h >= 0:
+            r = rank_at[h] = rank(ids[h] << 32 | new, -1)
+            if r >= 0:
+                push(heap, r << 32 | h)
     return [x for x in ids if x >= 0]
 
 
-class WordIds(dict):
-    """Ids of words as bytes; forgets everything when full, which changes no result."""
+class Cache(dict):
+    """Results of a function; the older half goes when it is full, which changes no result."""
 
-    def __init__(self, first: list[int], merges: dict[tuple[int, int], tuple[int, int]]):
+    def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.first, self.merges = first, merges
-
-    def __missing__(self, word: str) -> bytes:
-        ids = array("I", merged([self.first[b] for b in word.encode()], self.merges)).tobytes()
-        if len(word) <= CACHED_CHARS:
-            if len(self) >= CACHED_WORDS:
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= CACHED_CHARS:
+            if len(self) >= CACHED:
+                self.older = dict(self)
                 self.clear()
-            self[word] = ids
-        return ids
+            self[key] = found
+        return found
 
 
 class ByteBpe:
@@ -83,11 +95,14 @@ class ByteBpe:
         vocab: dict[str, int] = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         symbols = byte_symbols()
-        merges = {}
+        ranks: dict[int, int] = {}
+        made: list[int] = []
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
-        self.words = WordIds([vocab[s] for s in symbols], merges)
+            ranks[vocab[a] << 32 | vocab[b]] = rank
+            made.append(vocab[a + b])
+        first = [vocab[s] for s in symbols]
+        self.words = Cache(lambda word: array("I", merged([first[b] for b in word.encode()], ranks, made)).tobytes())
         value = {s: b for b, s in enumerate(symbols)}
         self.strings = [b""] * (1 + max(*vocab.values(), *self.special.values()))
         for s, i in vocab.items():
@@ -97,21 +112,26 @@ class ByteBpe:
         self.widths = np.array([len(s) for s in self.strings], dtype=np.int64)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.find = regex.compile(WORDS).findall
+        self.chunks = Cache(self.by_pattern)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        get, find = self.words.__getitem__, self.find
         if self.split is None or not any(s in text for s in self.special):
-            return b"".join(map(get, find(text)))
-        out = []
-        for part in self.split.split(text):
-            if part in self.special:
-                out.append(array("I", [self.special[part]]).tobytes())
-            elif part:
-                out.extend(map(get, find(part)))
-        return b"".join(out)
+            return self.plain(text)
+        parts = self.split.split(text)
+        return b"".join(array("I", [self.special[p]]).tobytes() if p in self.special else self.plain(p) for p in parts if p)
+
+    def by_pattern(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.find(text)))
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without special strings. Between single spaces and newlines, no word of the pattern crosses a space."""
+        if text[0] in " \n" or text[-1] in " \n" or any(x in text for x in UNEVEN):
+            return self.by_pattern(text)
+        chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        return b"".join(map(self.chunks.__getitem__, chunks))
 
     def decode_bytes(self, ids: bytes) -> bytes:
         return b"".join(map(self.strings.__getitem__, memoryview(ids).cast("I")))
