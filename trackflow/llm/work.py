@@ -31,15 +31,16 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     path = shared_folder(df.sparkSession, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
+    df.sparkSession._jvm.System.gc()  # shuffle files of finished work go only when the driver collects its garbage
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that nothing reads any more."""
-    jvm = df.sparkSession._jvm
-    for file in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(file.rsplit("/", 1)[0])
-        folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    session = df.sparkSession._jsparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
 
 
 def small_batches(spark: SparkSession) -> None:
