@@ -191,8 +191,8 @@ def as_structs(spans: list[list[tuple[int, int]]]) -> pa.Array:
     return pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], SPAN_TYPE)
 
 
-def repeated_spans(docs: DataFrame, length: int, anchor: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``hash`` (of a text), ``doc_id``, ``text`` as bytes and ``spans``: the maximal runs of bytes inside strings of ``length`` bytes that
+def repeated_spans(docs: DataFrame, length: int, anchor: int | None = None, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``doc_id``, ``bytes`` of the text, ``row`` (a struct of the columns in ``carry``, if any) and ``spans``: the maximal runs of bytes inside strings of ``length`` bytes that
     start at another place too, in the same document or another one. Matches never cross documents.
 
     One output row for each input row: rows of equal text, repeated ids included, are all repeats of each other. A null text is
@@ -200,7 +200,7 @@ def repeated_spans(docs: DataFrame, length: int, anchor: int | None = None, id_c
     """
     ready(docs.sparkSession)
     k = anchor or max(length // 8, 8)
-    source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"))
+    source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"), *([F.struct(*carry).alias("row")] if carry else []))
     source = source.withColumn("hash", F.substring(F.unhex(F.sha2("bytes", 256)), 1, 16))
     n_bytes = F.octet_length("bytes")
     counted = staged(source.where(n_bytes >= length).groupBy("hash").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.min(n_bytes).alias("n")), "copies")
@@ -242,7 +242,7 @@ def repeated_spans(docs: DataFrame, length: int, anchor: int | None = None, id_c
     wanted = open_.where("kinds > 1 OR inner > 0").join(counted.select("hash", "rep"), "hash")
     wanted = staged(wanted.select("hash", F.col("rep").alias("doc_id"), "anchor", "segment", "n", "group_bytes", "start", "end"), "wanted")
     # the representative of a text is found by its id too, so copies spread over the join
-    match = source.join(wanted.withColumnRenamed("hash", "w").withColumnRenamed("doc_id", "rep"), (F.col("hash") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    match = source.drop("row").join(wanted.withColumnRenamed("hash", "w").withColumnRenamed("doc_id", "rep"), (F.col("hash") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     cut_out = match.select("anchor", "segment", "n", "group_bytes", F.expr("substring(bytes, start + 1, end - start)").alias("part"))
     cut_out = staged(cut_out, "parts")
 
@@ -284,7 +284,7 @@ def repeated_spans(docs: DataFrame, length: int, anchor: int | None = None, id_c
     spans = counted.select("hash").join(joined, "hash", "left").join(copied, "hash", "left").select("hash", F.coalesce("all", "spans").alias("raw")).where("raw IS NOT NULL")
     spans = staged(spans.select("hash", union_of(F.array_sort("raw")).alias("spans")), "spans")
     empty = F.array().cast(SPANS)
-    return source.join(spans, "hash", "left").select("doc_id", "bytes", F.coalesce("spans", empty).alias("spans"))
+    return source.join(spans, "hash", "left").select(*(c for c in source.columns if c != "hash"), F.coalesce("spans", empty).alias("spans"))
 
 
 def union_of(spans):

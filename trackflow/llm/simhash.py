@@ -188,7 +188,9 @@ def fingerprint_groups(docs: DataFrame, shingle_words: int, radius: int, id_col:
 
 
 def near_groups(docs: DataFrame, shingle_words: int = 5, radius: int = 12, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``component`` of texts whose word shingles have a Jaccard similarity of at least ``similarity``.
+    """``doc_id``, ``text_hash``, ``component`` and ``kept`` of texts whose word shingles are alike by Jaccard in ``similarity`` or more.
+
+    ``kept`` is true for the rows whose id is the smallest of their component.
 
     Links of the spanning forests within the radius are verified on the sets of shingles (32-bit hashes), after a test of their
     sizes. Equal texts are one node. Rows with a null id are left out; null texts are empty and equal to each other.
@@ -204,12 +206,14 @@ def near_groups(docs: DataFrame, shingle_words: int = 5, radius: int = 12, simil
     def fn(keys: list, texts: list) -> list:
         return [keys, [np.unique(shingle_hashes(t, shingle_words).astype(np.uint32).view(np.int32)).tolist() for t in texts]]
 
-    texts = keyed.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = staged(map_rows(texts, fn, "doc_id long, hashes array<int>"), "shingles")
+    # a node is the first of its text, found by id and text, so copies do not meet
+    texts = keyed.select("doc_id", "key.hash", "text").join(nodes.select(F.col("id").alias("doc_id"), "hash").join(wanted, "doc_id"), ["doc_id", "hash"]).select("doc_id", "text")
+    sets = staged(map_rows(texts, fn, "doc_id long, hashes array<int>").dropDuplicates(["doc_id"]), "shingles")
     with_a = close.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("left")), "a")
     both = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("right")), "b")
     shared = F.size(F.array_intersect("left", "right"))
     linked = both.where(shared >= similarity * (F.size("left") + F.size("right") - shared)).select("a", "b")
     found = components(linked)
-    owned = nodes.join(found, "id", "left").select("hash", F.coalesce("component", "id").alias("component"))
-    return marked.select("doc_id", "hash").join(owned, "hash").select("doc_id", "component")
+    owned = staged(nodes.join(found, "id", "left").select("hash", "id", F.coalesce("component", "id").alias("component")), "owned")
+    of_text = marked.select("doc_id", "hash").join(owned, "hash")
+    return of_text.select("doc_id", F.col("hash").alias("text_hash"), "component", ((F.col("doc_id") == F.col("component")) & (F.col("id") == F.col("component"))).alias("kept"))
