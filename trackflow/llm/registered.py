@@ -1,6 +1,6 @@
 """Imports every query module of this subpackage, so that its registry is complete."""
 
-from trackflow.llm import q_chat, q_near, q_quality, q_repeats, q_tokens  # noqa: F401
+from trackflow.llm import q_chat, q_near, q_quality, q_repeats, q_tokens, q_urls  # noqa: F401
 from trackflow.llm.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
