@@ -100,24 +100,38 @@ def segments(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndar
 
 
 def suffix_order(text: np.ndarray, stop: np.ndarray, reach: int) -> np.ndarray:
-    """Positions of a text of integer symbols in the order of their suffixes, each suffix ending at its ``stop``.
+    """Positions of a text of symbols (group * 256 + byte) in the order of their suffixes, each suffix ending at its ``stop``.
 
-    Ranks of prefixes are doubled until they cover ``reach`` symbols, which no suffix exceeds.
+    The first keys hold a group and several bytes; then ranks of prefixes are doubled until they cover ``reach`` symbols, which
+    no suffix exceeds. Only positions that share their rank are sorted again.
     """
     n = len(text)
     at = np.arange(n)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64) + 1
-    del text
-    h = 1
+    key, h, room = text >> 8, 0, (1 << 62) // (int(text[-1] >> 8) + 2)
+    while room >= 257:
+        inside = at + h < stop
+        key = key * 257 + np.where(inside, (text[np.minimum(at + h, n - 1)] & 255) + 1, 0)
+        room //= 257
+        h += 1
+    order = np.argsort(key)
+    slots, rank = at, np.empty(n, dtype=np.int64)
+    ranked = key[order]
     while True:
-        following = np.where(at + h < stop, rank[np.minimum(at + h, n - 1)], 0)
-        key = rank * (n + 2) + following
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        rank[order] = np.cumsum(np.concatenate(([1], (ranked[1:] != ranked[:-1]).astype(np.int64))))
-        h *= 2
-        if h >= reach or rank[order[-1]] == n:
+        new = np.ones(len(slots), dtype=bool)
+        new[1:] = ranked[1:] != ranked[:-1]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))
+        own = order[slots]
+        rank[own] = slots[first] + 1
+        alone = new & np.append(new[1:], True)
+        slots, own = slots[~alone], own[~alone]
+        if h >= reach or not len(slots):
             return order
+        following = np.where(own + h < stop[own], rank[np.minimum(own + h, n - 1)], 0)
+        key = rank[own] * (n + 2) + following
+        by = np.argsort(key)
+        ranked = key[by]
+        order[slots] = own[by]
+        h *= 2
 
 
 def common(text: np.ndarray, stop: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -312,9 +326,11 @@ def large_groups(parts: DataFrame, length: int) -> DataFrame:
 
     every = staged(parts.where("n = 1").select("anchor", "segment", "part").mapInArrow(windows, "anchor long, segment long, window binary, at int"), "windows")
     known = parts.where("n > 1").select("anchor", "segment", "part").mapInArrow(windows, "anchor long, segment long, window binary, at int")
-    seen = every.select("window").union(known.select("window")).union(known.select("window"))
-    twice = seen.groupBy("window").count().where("count > 1").select("window")
-    runs = every.join(twice, "window").select("anchor", "segment", "at")
+    # within a group only: segments of several groups hold the same place of a text
+    pair = ["anchor", "window"]
+    seen = every.select(*pair).union(known.select(*pair)).union(known.select(*pair))
+    twice = staged(seen.groupBy(*pair).count().where("count > 1").select(*pair), "twice")  # stored, so that a hot window can be split in the join
+    runs = every.join(twice, pair).select("anchor", "segment", "at")
     # neighbouring starts of one segment, at most its bytes, become one span
     w = Window.partitionBy("anchor", "segment").orderBy("at")
     starts = runs.withColumn("run", F.col("at") - F.row_number().over(w))
