@@ -62,7 +62,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens: doc_id, piece, start, length, sequence_id, offset."""
-    pieces = packing.pieces_of(bpe.encode(docs, path(VOCABULARY)), CAPACITY, END_ID).drop("piece_ids")
+    pieces = packing.pieces_of(bpe.encode(docs, path(VOCABULARY), library=True), CAPACITY, END_ID).drop("piece_ids")
     return packing.pack(staged(pieces, "pieces"), "length", CAPACITY, ["doc_id", "piece"])
 
 

@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from trackflow.llm.work import map_rows
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHED = 200_000
 CACHED_CHARS = 32
+LIBRARY_CHARS = 400
 #: White space other than single spaces and newlines between words; a text with any of these is split by the pattern.
 UNEVEN = ("  ", "\n\n", " \n", "\n ", "\0", *map(chr, [*range(9, 10), *range(11, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
@@ -87,9 +89,12 @@ class Cache(dict):
 
 
 class ByteBpe:
-    """A vocabulary file in the JSON form of public tokenizers; special strings in a text become their own id."""
+    """A vocabulary file in the JSON form of public tokenizers; special strings in a text become their own id.
 
-    def __init__(self, path: str):
+    With ``library``, words that the cache lacks are merged by the tiktoken library, where ids are in the order of the ranks.
+    """
+
+    def __init__(self, path: str, library: bool = False):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -113,6 +118,10 @@ class ByteBpe:
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.find = regex.compile(WORDS).findall
         self.chunks = Cache(self.by_pattern)
+        if library and all(a < b for a, b in zip(made, made[1:])) and max(first) < made[0]:
+            plain = {b: i for i, b in enumerate(self.strings) if b and i not in self.special.values()}
+            self.merges = tiktoken.Encoding("words", pat_str=WORDS, mergeable_ranks=plain, special_tokens={})
+            self.chunks = Cache(self.by_library)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -126,6 +135,11 @@ class ByteBpe:
     def by_pattern(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.find(text)))
 
+    def by_library(self, text: str) -> bytes:
+        if len(text) > LIBRARY_CHARS:  # a word may be very long: the heap takes it in good time
+            return self.by_pattern(text)
+        return array("I", self.merges.encode_ordinary(text)).tobytes()
+
     def plain(self, text: str) -> bytes:
         """Ids of a text without special strings. Between single spaces and newlines, no word of the pattern crosses a space."""
         if text[0] in " \n" or text[-1] in " \n" or any(x in text for x in UNEVEN):
@@ -141,21 +155,21 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=4)
-def tokenizer(path: str) -> ByteBpe:
+def tokenizer(path: str, library: bool = False) -> ByteBpe:
     """One per worker process."""
-    return ByteBpe(path)
+    return ByteBpe(path, library)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, library: bool = False) -> DataFrame:
     """Encode every whole text; returns the id, ``ids`` (binary, little-endian unsigned 32-bit) and, on request, ``decoded``.
 
-    Null and empty texts give empty ids. Every input row gives one output row, repeated ids and rows included; other
+    ``library`` leaves the merges to a library, for callers that only need the ids; they are the same. Null and empty texts give empty ids. Every input row gives one output row, repeated ids and rows included; other
     columns are not read, whatever their names. An empty table gives an empty table of the same columns.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def fn(keys: list, texts: list) -> list:
-        bpe = tokenizer(path)
+        bpe = tokenizer(path, library)
         ids = [bpe.encode(t) for t in texts]
         return [keys, ids, *([[bpe.decode(x) for x in ids]] if decoded else [])]
 

@@ -30,7 +30,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_best_fit_packing")
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of 2048 tokens."""
-    pieces = packing.pieces_of(bpe.encode(table(spark, sf_dir, "documents"), path(VOCABULARY)), CAPACITY, END_ID)
+    pieces = packing.pieces_of(bpe.encode(table(spark, sf_dir, "documents"), path(VOCABULARY), library=True), CAPACITY, END_ID)
     stored = staged(pieces.select("doc_id", "piece", "start", "length", F.crc32("piece_ids").alias("ids_crc32")), "pieces")
     return packing.pack(stored, "length", CAPACITY, ["doc_id", "piece"])
 

@@ -33,10 +33,10 @@ class LineRules:
     max_lost_share: float = 0.5  # of the characters in words
 
 
-# Phrases of notices, menus and licences.
+# Phrases of notices and menus.
 NOTICES = re.compile(
     r"all rights reserved|cookie(s)? (policy|settings|notice)|accept (all )?cookies|privacy policy|terms of (use|service)|click here|read more|sign up|log in|"
-    r"subscribe (now|to)|enable javascript|follow us on|share on|released under the|licensed under|copyright ©|lorem ipsum",
+    r"subscribe (now|to)|enable javascript|follow us on|share on|lorem ipsum",
     re.IGNORECASE,
 )
 PUNCTUATION = re.compile(r"[.,;:!?…。、！？]")

@@ -44,7 +44,8 @@ def ruling(host: Column, path: Column, rules: list[Rule]) -> Column:
         F.when(((host == r.host) | host.endswith(f".{r.host}")) & path.startswith(r.path), F.struct(F.lit(len(r.host) + len(r.path)).alias("size"), F.lit(r.host + r.path).alias("rule"), F.lit(r.verdict).alias("verdict")))
         for r in rules
     ]
-    return F.array_max(F.array(*fits))
+    none = F.lit(None).cast("struct<size: int, rule: string, verdict: string>")
+    return F.array_max(F.array(none, *fits))
 
 
 def grams(text: Column, order: int) -> Column:
