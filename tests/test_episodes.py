@@ -7,14 +7,14 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tests.tracks import POINTS, SCHEMA, T0, approach, circling, fly
+from tests.tracks import POINTS, SCHEMA, T0, approach, circling, on_line, reports
 from trackflow.config import TrackRules
 from trackflow.functions.geo import great_circle_nm
 from trackflow.operators.episodes import conform, episodes, episodes_in_window, redetected_ids, visits
 from trackflow.operators.tracks import track_features, track_frames
 
 RULES = TrackRules()
-GO_AROUND = [(210, 0, -700, False), (150, 0, 1800, False), (60, 0, 0, False)]
+GO_AROUND = [(210, -700, False), (150, 1800, False), (60, 0, False)]
 
 
 def frame(spark, rows):
@@ -33,7 +33,7 @@ def test_holding_is_found(spark):
 
 def test_passing_through_is_not_holding(spark):
     p = POINTS["LAM"]
-    assert found(spark, fly([(600, 0, -800, False)], p.lat, p.lon - 0.2, 11000.0, 90.0)) == []
+    assert found(spark, reports(on_line(p.lat, p.lon - 0.2, 90.0, 220), [(600, -800, False)], 11000.0)) == []
 
 
 def test_go_around_is_found(spark):
@@ -45,8 +45,8 @@ def test_go_around_is_found(spark):
 @pytest.mark.parametrize(
     "rows",
     [
-        approach("27R", [(270, 0, -700, False), (180, 0, 0, True)]),
-        fly([(90, 0, 0, True), (240, 0, 2000, False)], POINTS["27L"].lat, POINTS["27L"].lon, 0.0, 270.0, knots=160),
+        approach("27R", [(270, -700, False), (180, 0, True)]),
+        reports(on_line(POINTS["27L"].lat, POINTS["27L"].lon, 270.0, 160), [(90, 0, True), (240, 2000, False)], 0.0),
     ],
     ids=["landing", "departure"],
 )
@@ -55,7 +55,7 @@ def test_landing_and_departure_are_not_go_arounds(spark, rows):
 
 
 def test_id_is_stable_when_the_track_grows(spark):
-    rows = circling("OCK", alt=8000.0, rate=-3, lead=90, tail=())
+    rows = circling("OCK", alt=8000.0, side=-1, lead=90, descent=0)
     (part,) = found(spark, rows[: len(rows) * 2 // 3])
     (whole,) = found(spark, rows)
     assert part.event_id == whole.event_id and len(whole.event_id) == 36
@@ -64,7 +64,7 @@ def test_id_is_stable_when_the_track_grows(spark):
 
 def test_sliding_windows_give_one_id(spark):
     start = T0 + timedelta(minutes=60)
-    rows = fly([(3600, 0, 0, False)], 50.7, -1.7, 20000.0, 90.0, knots=1) + circling("LAM", laps=5, start=start)
+    rows = reports(on_line(50.7, -1.7, 90.0, 1), [(3600, 0, False)], 20000.0) + circling("LAM", laps=5, start=start)
     df = frame(spark, rows)
     first, last = (F.lit(T0 + timedelta(minutes=m)) for m in (60, 300))
     got = redetected_ids(df, first, last, 120, RULES).collect()

@@ -15,7 +15,7 @@ RESPONSE = {
     "total": 4,
     "ac": [
         {"hex": " 4CA7B3 ", "flight": "ABC12  ", "alt_baro": 3575, "alt_geom": 3775, "gs": 38.3, "track": 12.5,
-         "geom_rate": 6656, "squawk": "1234", "lat": 51.4, "lon": -0.4, "seen_pos": 3.2, "seen": 1.1, "spi": 1},
+         "geom_rate": 6656, "transponder_code": "1234", "lat": 51.4, "lon": -0.4, "seen_pos": 3.2, "seen": 1.1, "spi": 1},
         {"hex": "400000", "alt_baro": "ground", "lat": 51.5, "lon": -0.5, "baro_rate": -64, "flight": "   "},
         {"hex": "400001", "flight": "NOPOS"},
         {"hex": "400002", "lat": 51.6, "lon": -0.6, "spi": 0, "alt_baro": 0},
@@ -144,7 +144,41 @@ def test_uniqueness_violations(spark):
 
 def test_reference_csv(spark, tmp_path):
     (tmp_path / "ref.csv").write_text(
-        "icao24,registration,model\n ABC123 ,'G-AB, C','two\nlines'\nabc123,A-FIRST,x\nzz,bad,y\n,none,z\n"
+        "'icao24',registration,model\n ABC123 ,'G-AB, C','two\nlines'\nabc123,A-FIRST,x\nzz,bad,y\n,none,z\n"
     )
     rows = reference.one_per_key(reference.with_columns(reference.read_reference_csv(spark, str(tmp_path)))).collect()
     assert [(r.icao24, r.registration, r.operator) for r in rows] == [("abc123", "A-FIRST", None)]
+
+
+def test_reference_csv_quotes_and_backslashes(spark, tmp_path):
+    def read(text):
+        (tmp_path / "q.csv").write_text(text)
+        return [tuple(r)[:2] for r in reference.with_columns(reference.read_reference_csv(spark, str(tmp_path / "q.csv"))).collect()]
+
+    assert read("'icao24','registration'\n'abc123','O''Brien, J'\n'abc124','ends in \\'\n'abc125','x'\n") == [("abc123", "O'Brien, J"), ("abc124", "ends in \\"), ("abc125", "x")]
+    assert read('icao24,registration\nabc123,"say ""hi"", twice"\nabc124,it\'s\n') == [("abc123", 'say "hi", twice'), ("abc124", "it's")]
+
+
+def test_malformed_slots_are_null(spark):
+    body = {"time": 77, "states": [["abc", None, "Land", 70.9, "n/a", "x", 51.4, 1000, "maybe", None, 90, -0.0, None, None, "7000", False, 0, 3]]}
+    df = spark.createDataFrame([("p", 80.0, json.dumps(body))], "poll_id string, fetched_at double, body string")
+    (r,) = feeds.vector_reports(df).collect()
+    assert (r.time_position, r.last_contact, r.longitude, r.on_ground, r.transponder_code) == (70, None, None, None, "7000")
+    assert str(r.vertical_rate) == "0.0"
+
+
+def test_fractional_response_time_and_code_field(spark):
+    body = {"now": 1_700_000_500_000.5, "ac": [{"hex": "abc123", "lat": 1.0, "lon": 2.0, "code": "7000"}]}
+    df = spark.createDataFrame([("p", 1_700_000_000.0, json.dumps(body))], "poll_id string, fetched_at double, body string")
+    (r,) = feeds.object_reports(df, code_field="code").collect()
+    assert (r.api_time, r.transponder_code) == (1_700_000_500, "7000")
+
+
+def test_lengths_are_reported_not_cut(spark):
+    from trackflow.operators.quality import checked_assessments, checked_reviews
+
+    df = spark.createDataFrame([("x" * 5000, "s", "wind", 1, 0.5, "00000000-0000-0000-0000-000000000000")], "reasoning string, evidence_summary string, cause string, severity int, confidence double, event_id string")
+    assert len(checked_assessments(df).first().reasoning) == 5000 and checked_assessments(df).first().reasons == ""
+    assert checked_assessments(df, reasoning_length=4000).first().reasons == "reasoning_length"
+    reviews = spark.createDataFrame([("agree", None), ("maybe", "wind"), ("disagree", "x")], "verdict string, corrected_cause string")
+    assert [r.reasons for r in checked_reviews(reviews).collect()] == ["", "verdict", "corrected_cause"]

@@ -6,9 +6,9 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from trackflow.catalog import proxies as P
 from trackflow.catalog.detection import RULES
+from trackflow.catalog.registered import QUERIES
 from trackflow.operators import episodes as E
 from trackflow.operators.cdc import current_rows
 from trackflow.operators.silver import dedupe, enrich, fresh, to_positions
@@ -24,9 +24,9 @@ def plan(df):
     return text.getvalue()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith("stream_") and n not in ("silver_layout", "append_log")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_") and n not in ("silver_layout", "append_log")])
 def test_no_cross_join_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert banned not in text
 

@@ -5,9 +5,9 @@ import pytest
 
 import __spark_entry__ as entry
 from trackflow.catalog.proxies import TABLES
+from trackflow.catalog.registered import CHECKS, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -72,7 +72,7 @@ def positions(spark, rows):
 def test_detection_in_deliveries_equals_batch(spark, tmp_path):
     table, log, checkpoint = (str(tmp_path / n) for n in ("positions", "log", "c"))
     rows = circling("BNN", laps=6, key="aaaaaa") + approach(
-        "27L", [(210, 0, -700, False), (150, 0, 1800, False), (60, 0, 0, False)], key="bbbbbb"
+        "27L", [(210, -700, False), (150, 1800, False), (60, 0, False)], key="bbbbbb"
     )
     df = positions(spark, rows)
     schema = ", ".join(f"{n} {t}" for n, t in df.dtypes)
@@ -96,6 +96,30 @@ def test_detection_in_deliveries_equals_batch(spark, tmp_path):
     assert detect.read_log(spark, log).count() == entries
 
 
+def test_backlog_and_future_report_lose_nothing(spark, tmp_path):
+    """Two holds six hours apart and a report from next year, all in one micro-batch, with the guard on."""
+    table, log, checkpoint = (str(tmp_path / n) for n in ("positions", "log", "c"))
+    rows = circling("BNN", key="aaaaaa") + circling("BNN", key="aaaaaa", start=T0 + timedelta(hours=6)) + circling("LAM", key="bbbbbb", start=T0 + timedelta(days=300))[:1]
+    df = positions(spark, rows)
+    schema = ", ".join(f"{n} {t}" for n, t in df.dtypes)
+    df.write.partitionBy("event_date").parquet(table)
+    rules = TrackRules()
+    detect.detect_stream(etl.table_stream(spark, table, schema), lambda: spark.read.schema(schema).parquet(table), log, checkpoint, rules).awaitTermination()
+    found = detect.fold_log(detect.read_log(spark, log))
+    assert found.count() == 2 and rows_of(conform(found)) == rows_of(conform(episodes(df, rules)))
+
+
+def test_guard_leaves_cut_off_starts_to_earlier_batches(spark, tmp_path):
+    table, log, checkpoint = (str(tmp_path / n) for n in ("positions", "log", "c"))
+    df = positions(spark, circling("BNN", laps=20))
+    schema = ", ".join(f"{n} {t}" for n, t in df.dtypes)
+    rules = replace(TrackRules(), lookback_s=1800, edge_margin_s=900)
+    for lo, hi in ((0, 40), (40, 60), (60, 999)):
+        df.where((F.col("event_ts") >= T0 + timedelta(minutes=lo)) & (F.col("event_ts") < T0 + timedelta(minutes=hi))).coalesce(1).write.mode("append").partitionBy("event_date").parquet(table)
+        detect.detect_stream(etl.table_stream(spark, table, schema), lambda: spark.read.schema(schema).parquet(table), log, checkpoint, rules).awaitTermination()
+    assert {r.started_at for r in detect.read_log(spark, log).collect()} == {r.started_at for r in episodes(df, rules).collect()}
+
+
 def test_session_windows_on_a_stream(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = [("a", T0 + timedelta(seconds=s)) for s in (0, 100, 280, 461, 1000)]

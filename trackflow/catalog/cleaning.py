@@ -21,9 +21,9 @@ _SILVER = f"""
 silver AS (SELECT lower(trim(icao24)) AS icao24, nullif(trim(callsign), '') AS callsign, make_timestamp(time_position * 1000000) AS event_ts,
   make_timestamp(CAST(trunc(fetched_at) AS BIGINT) * 1000000) AS fetched_ts, latitude AS lat, longitude AS lon,
   coalesce(geo_altitude, baro_altitude) * {config.M_TO_FT}e0 AS alt_ft, baro_altitude * {config.M_TO_FT}e0 AS baro_alt_ft,
-  velocity * {config.MS_TO_KT}e0 AS speed_kt, true_track AS track_deg, vertical_rate * {config.MS_TO_FPM}e0 AS vr_fpm, on_ground, squawk
+  velocity * {config.MS_TO_KT}e0 AS speed_kt, true_track AS track_deg, vertical_rate * {config.MS_TO_FPM}e0 AS vr_fpm, on_ground, transponder_code
   FROM fresh)"""
-_COLUMNS = "lat, lon, alt_ft, baro_alt_ft, speed_kt, track_deg, vr_fpm, on_ground, squawk"
+_COLUMNS = "lat, lon, alt_ft, baro_alt_ft, speed_kt, track_deg, vr_fpm, on_ground, transponder_code"
 _DEDUPED = f"""
 uniq AS (SELECT * FROM silver QUALIFY row_number() OVER (PARTITION BY icao24, event_ts ORDER BY fetched_ts, callsign NULLS FIRST,
   {', '.join(c.strip() + ' NULLS FIRST' for c in _COLUMNS.split(','))}) = 1)"""
@@ -115,7 +115,7 @@ def exclude_prefix(spark, sf_dir):
 # Customers written as an untidy CSV: padded upper-case keys, malformed keys, repeats, quoted names.
 REFERENCE_FILE = """
 SELECT CASE WHEN c_custkey % 50 = 7 THEN 'zz' || c_custkey ELSE ' ' || upper($fmt('%06x', c_custkey $div 2)) END AS icao24,
-       c_name || ', "' || n_name || '"' AS registration, 'T' || c_nationkey AS typecode, c_mktsegment AS model
+       c_name || ', "' || n_name || '"' || CASE WHEN c_custkey % 10 = 3 THEN ' O' || chr(39) || 'B, ' || chr(39) || chr(39) WHEN c_custkey % 10 = 4 THEN chr(92) ELSE '' END AS registration, 'T' || c_nationkey AS typecode, c_mktsegment AS model
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 """
 
@@ -129,9 +129,7 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 )
 def ref_load_dedupe(spark, sf_dir):
     path = shared_folder(spark, "reference-csv")
-    P.load(spark, sf_dir, REFERENCE_FILE).write.option("header", True).option("quote", "'").option(
-        "ignoreLeadingWhiteSpace", False
-    ).csv(path)
+    P.load(spark, sf_dir, REFERENCE_FILE).write.options(header=True, quote="'", escape="'", quoteAll=True, ignoreLeadingWhiteSpace=False).csv(path)
     table = shared_folder(spark, "reference")
     rows = reference.one_per_key(reference.with_columns(reference.read_reference_csv(spark, path)))
     rows.write.mode("overwrite").parquet(table)
@@ -143,7 +141,7 @@ def ref_load_dedupe(spark, sf_dir):
 _SEC = f"({P.EPOCH} + event_id * 7)"
 OBJECT_BODIES = f"""
 SELECT 'p' || event_id AS poll_id, CAST({_SEC} + 2 AS DOUBLE) AS fetched_at,
-       '{{"now":' || ({_SEC} * 1000 + 250) || ',"total":3,"' || CASE WHEN event_id % 2 = 0 THEN 'ac' ELSE 'aircraft' END
+       '{{"now":' || ({_SEC} * 1000 + 250) || CASE WHEN event_id % 5 = 0 THEN '.5' ELSE '' END || ',"total":3,"' || CASE WHEN event_id % 2 = 0 THEN 'ac' ELSE 'aircraft' END
        || '":[{{"hex":" ' || upper($fmt('%06x', user_id)) || '","flight":"FL' || user_id || '  ","alt_baro":'
        || CASE WHEN event_type = 'error' THEN '"ground"' ELSE '' || (1000 + event_id % 9000) END
        || ',"alt_geom":' || (1200 + event_id % 9000) || ',"gs":' || (event_id % 400) || '.5,"track":' || (event_id % 360)
@@ -173,12 +171,12 @@ UNION ALL SELECT 'p' || event_id, CAST({_SEC} + 2 AS DOUBLE), {_SEC}, printf('%0
 )
 def normalise_object_feed(spark, sf_dir):
     rows = feeds.object_reports(P.load(spark, sf_dir, OBJECT_BODIES))
-    return rounded(rows.drop("origin_country", "squawk", "position_source", "category"))
+    return rounded(rows.drop("origin_country", "transponder_code", "position_source", "category"))
 
 
 VECTOR_BODIES = f"""
 SELECT 'v' || event_id AS poll_id, CAST({_SEC} + 2 AS DOUBLE) AS fetched_at,
-       '{{"time":' || {_SEC} || ',"states":[["' || $fmt('%06x', user_id) || '","FL' || user_id || '  ","Land",' || ({_SEC} - 3) || ',' || ({_SEC} - 1)
+       '{{"time":' || {_SEC} || ',"states":[["' || $fmt('%06x', user_id) || '","FL' || user_id || '  ","Land",' || ({_SEC} - 3) || CASE WHEN event_id % 7 = 1 THEN '.7' ELSE '' END || ',' || CASE WHEN event_id % 7 = 2 THEN '"n/a"' ELSE '' || ({_SEC} - 1) END
        || ',-0.' || (100 + event_id % 700) || ',51.' || (100 + event_id % 800) || ',' || (event_id % 9000) || ',' || CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END
        || ',' || (event_id % 300) || '.5,' || (event_id % 360) || ',-' || (event_id % 20) || ',[1,2],null,"' || (1000 + event_id % 6000) || '",false,0,'
        || (event_id % 8) || '],["' || $fmt('%06x', user_id + 1048576) || '","","Land",null,' || ({_SEC} - 9) || ']]}}' AS body
@@ -186,10 +184,10 @@ FROM events
 """
 _VECTOR_CHECK = f"""
 SELECT 'v' || event_id AS poll_id, CAST({_SEC} + 2 AS DOUBLE) AS fetched_at, {_SEC} AS api_time, printf('%06x', user_id) AS icao24, 'FL' || user_id AS callsign,
-  'Land' AS origin_country, {_SEC} - 3 AS time_position, {_SEC} - 1 AS last_contact, CAST('-0.' || (100 + event_id % 700) AS DOUBLE) AS longitude,
+  'Land' AS origin_country, {_SEC} - 3 AS time_position, CASE WHEN event_id % 7 <> 2 THEN {_SEC} - 1 END AS last_contact, CAST('-0.' || (100 + event_id % 700) AS DOUBLE) AS longitude,
   CAST('51.' || (100 + event_id % 800) AS DOUBLE) AS latitude, CAST(event_id % 9000 AS DOUBLE) AS baro_altitude, event_type = 'error' AS on_ground,
   event_id % 300 + 5e-1 AS velocity, CAST(event_id % 360 AS DOUBLE) AS true_track, CAST(-(event_id % 20) AS DOUBLE) AS vertical_rate,
-  CAST(NULL AS DOUBLE) AS geo_altitude, '' || (1000 + event_id % 6000) AS squawk, FALSE AS spi, CAST(0 AS INTEGER) AS position_source, CAST(event_id % 8 AS INTEGER) AS category FROM events
+  CAST(NULL AS DOUBLE) AS geo_altitude, '' || (1000 + event_id % 6000) AS transponder_code, FALSE AS spi, CAST(0 AS INTEGER) AS position_source, CAST(event_id % 8 AS INTEGER) AS category FROM events
 UNION ALL SELECT 'v' || event_id, CAST({_SEC} + 2 AS DOUBLE), {_SEC}, printf('%06x', user_id + 1048576), '', 'Land', NULL, {_SEC} - 9,
   NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM events
 """
@@ -197,9 +195,7 @@ UNION ALL SELECT 'v' || event_id, CAST({_SEC} + 2 AS DOUBLE), {_SEC}, printf('%0
 
 @query("normalise_vector_feed", _VECTOR_CHECK)
 def normalise_vector_feed(spark, sf_dir):
-    rows = feeds.vector_reports(P.load(spark, sf_dir, VECTOR_BODIES))
-    # -0.0 reads as a different text than 0.0 in the comparison.
-    return rows.withColumn("vertical_rate", F.col("vertical_rate") + F.lit(0.0))
+    return feeds.vector_reports(P.load(spark, sf_dir, VECTOR_BODIES))
 
 
 WEATHER_BODIES = f"""
@@ -278,7 +274,7 @@ def json_extract(spark, sf_dir):
     "scalar_string",
     f"""SELECT doc_id, lower(trim(' ' || source || ' ')) AS source_key, nullif(trim(CASE WHEN lang = 'en' THEN '  ' ELSE lang END), '') AS lang,
     replace(source || '+', '+', '') AS plain, regexp_matches(source, '^src[0-9]+$') AS numbered, regexp_matches(lang, '{config.KEY_PATTERN}') AS is_key,
-    substr(text, 1, 4000) AS capped, '00:' || lpad(CAST(doc_id % 60 AS VARCHAR), 2, '0') || ' · go-around · ' || lang || ' · ' || source || ' · detected' AS label FROM documents""",
+    '00:' || lpad(CAST(doc_id % 60 AS VARCHAR), 2, '0') || ' · go-around · ' || lang || ' · ' || source || ' · detected' AS label FROM documents""",
 )
 def scalar_string(spark, sf_dir):
     d = P.table(spark, sf_dir, "documents")
@@ -288,7 +284,6 @@ def scalar_string(spark, sf_dir):
         blank_to_null(F.when(F.col("lang") == "en", "  ").otherwise(F.col("lang"))).alias("lang"),
         F.replace(F.concat("source", F.lit("+")), F.lit("+"), F.lit("")).alias("plain"),
         F.col("source").rlike("^src[0-9]+$").alias("numbered"), F.col("lang").rlike(config.KEY_PATTERN).alias("is_key"),
-        F.substring("text", 1, 4000).alias("capped"),
         event_label(at, F.lit("go_around"), F.col("lang"), F.col("source"), F.lit("detected")).alias("label"),
     )
 
@@ -348,7 +343,7 @@ FROM documents
 
 @query(
     "validate_assessments",
-    f"""{P.ctes(d=DRAFTS)} SELECT * EXCLUDE (evidence_summary) REPLACE (substr(reasoning, 1, 4000) AS reasoning), '{{"summary":"' || evidence_summary || '"}}' AS evidence,
+    f"""{P.ctes(d=DRAFTS)} SELECT * EXCLUDE (evidence_summary), '{{"summary":"' || evidence_summary || '"}}' AS evidence,
       concat_ws(',', CASE WHEN NOT regexp_matches(event_id, '{config.UUID_PATTERN}') THEN 'event_id' END,
       CASE WHEN cause NOT IN ('wind', 'low_visibility_cloud', 'runway_change', 'traffic_volume', 'other') THEN 'cause' END,
       CASE WHEN severity NOT BETWEEN 1 AND 3 THEN 'severity' END, CASE WHEN confidence NOT BETWEEN 0 AND 1 THEN 'confidence' END) AS reasons FROM d""",
@@ -362,7 +357,7 @@ def validate_assessments(spark, sf_dir):
     f"""{P.ctes(f=P.FORECASTS)}, c AS (SELECT *, concat_ws(',', CASE WHEN predicted_mean_hold_min NOT BETWEEN 0 AND 120 THEN 'mean' END,
       CASE WHEN predicted_holding_flights NOT BETWEEN 0 AND 200 THEN 'flights' END,
       CASE WHEN date_trunc('hour', target_hour) NOT BETWEEN TIMESTAMP '2024-01-15 11:20:00' AND TIMESTAMP '2024-01-15 15:20:00' THEN 'target_hour' END) AS reasons FROM f)
-    SELECT forecast_id, date_trunc('hour', target_hour) AS target_hour, model_version, substr(rationale, 1, 2000) AS rationale, reasons FROM c""",
+    SELECT forecast_id, date_trunc('hour', target_hour) AS target_hour, model_version, rationale, reasons FROM c""",
 )
 def validate_forecasts(spark, sf_dir):
     drafts = P.load(spark, sf_dir, P.FORECASTS).withColumn("target_hour", F.col("target_hour") + F.expr("INTERVAL 7 MINUTES"))

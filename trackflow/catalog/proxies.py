@@ -76,7 +76,7 @@ SELECT 'p' || event_id || '-' || late AS poll_id,
        CAST((event_id * 37 + user_id * 11) % 360 AS DOUBLE) AS true_track,
        CAST((event_id * 13) % 41 - 20 AS DOUBLE) AS vertical_rate,
        CASE WHEN event_id % 4 = 0 THEN NULL ELSE 1e3 + value * 61e-1 END AS geo_altitude,
-       CAST(NULL AS $text) AS squawk,
+       CAST(NULL AS $text) AS transponder_code,
        FALSE AS spi, CAST(0 AS INT) AS position_source, CAST(NULL AS INT) AS category
 FROM (SELECT *, $each(5, 20, 100) AS late FROM events)
 """
@@ -122,7 +122,7 @@ SELECT doc_id AS assessment_id, $uuid('e' || (doc_id $div 3)) AS event_id,
        CASE lang WHEN 'en' THEN 'wind' WHEN 'fr' THEN 'low_visibility_cloud' WHEN 'de' THEN 'traffic_volume'
                  ELSE 'other' END AS cause,
        CAST(1 + n_chars % 3 AS INT) AS severity, CAST(n_chars % 101 AS DOUBLE) / 1e2 AS confidence,
-       text AS reasoning, source AS model_version, $at(1704067200 + doc_id * 31) AS created_at
+       text AS reasoning, '{"summary":"' || source || '"}' AS evidence, source AS model_version, $at(1704067200 + doc_id * 31) AS created_at
 FROM documents
 """
 REVIEWS = """

@@ -100,15 +100,15 @@ def early():
 
 @query(
     "event_queue",
-    f"""{QUEUE}, {_SAID}, {_JUDGED}, w AS (SELECT * FROM e WHERE started_at > {EARLY} - INTERVAL 24 HOUR ORDER BY started_at DESC, event_id LIMIT 100000)
+    f"""{QUEUE}, {_SAID}, {_JUDGED}, w AS (SELECT * FROM e WHERE started_at > {NOW_SQL} - INTERVAL 24 HOUR ORDER BY started_at DESC, event_id LIMIT 200)
     SELECT w.event_id, w.event_type, w.location, w.icao24, w.callsign, w.started_at, w.ended_at, {steady_sql('w.duration_s / 60e0', 1)} AS duration_min, w.status,
-    w.trigger_ts, w.first_detected_at, said.assessment_id, said.cause, said.severity, said.confidence, said.model_version,
+    w.trigger_ts, w.first_detected_at, said.assessment_id, said.cause, said.severity, said.confidence, said.reasoning, said.evidence, said.model_version,
     judged.verdict, judged.corrected_cause, judged.notes, judged.reviewer, judged.reviewed_at
     FROM w LEFT JOIN said USING (event_id) LEFT JOIN judged USING (event_id)""",
 )
 def event_queue(spark, sf_dir):
     return L.event_queue(
-        episodes(spark, sf_dir), assessments(spark, sf_dir), reviews(spark, sf_dir), early(), hours=24, limit=100_000
+        episodes(spark, sf_dir), assessments(spark, sf_dir), reviews(spark, sf_dir), now(), hours=24, limit=200
     )
 
 

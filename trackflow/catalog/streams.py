@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from trackflow import schemas
@@ -15,7 +13,7 @@ from trackflow.operators.episodes import conform
 from trackflow.operators.silver import dedupe
 from trackflow.session import shared_folder
 from trackflow.sources.landing import append_stream
-from trackflow.streaming import detect, etl, stateful
+from trackflow.streaming import detect, etl
 
 LINEAGE = ("source_file", "ingested_at", "ingest_date")
 
@@ -95,25 +93,11 @@ def stream_detect(spark, sf_dir):
     table, log, checkpoint = (shared_folder(spark, n) for n in ("positions", "episode-log", "checkpoint"))
     reports = positions(spark, sf_dir).withColumn("event_date", F.to_date("event_ts"))
     schema = ", ".join(f"{n} {t}" for n, t in reports.dtypes)
-    rules = replace(RULES, edge_margin_s=0)
     cut = F.timestamp_seconds(F.lit(_HALF))
     for delivery in (reports.where(F.col("event_ts") < cut), reports.where(F.col("event_ts") >= cut)):
         delivery.write.mode("append").partitionBy("event_date").parquet(table)
         stream = etl.table_stream(spark, table, schema)
         detect.detect_stream(
-            stream, lambda: spark.read.schema(schema).parquet(table), log, checkpoint, rules
+            stream, lambda: spark.read.schema(schema).parquet(table), log, checkpoint, RULES
         ).awaitTermination()
     return rounded(conform(detect.fold_log(detect.read_log(spark, log))))
-
-
-@query("stream_detect_stateful", f"{ALL_EPISODES} SELECT * FROM out")
-def stream_detect_stateful(spark, sf_dir):
-    """The same deliveries through per-key state; each one only reads its own rows."""
-    table, log, checkpoint = (shared_folder(spark, n) for n in ("positions", "episode-log", "checkpoint"))
-    reports = positions(spark, sf_dir)
-    schema = ", ".join(f"{n} {t}" for n, t in reports.dtypes)
-    cut = F.timestamp_seconds(F.lit(_HALF))
-    for delivery in (reports.where(F.col("event_ts") < cut), reports.where(F.col("event_ts") >= cut)):
-        delivery.write.mode("append").parquet(table)
-        stateful.write_found(etl.table_stream(spark, table, schema), log, checkpoint, RULES).awaitTermination()
-    return rounded(conform(detect.fold_log(detect.read_log(spark, log))))

@@ -104,25 +104,24 @@ def forecast_rules(now: str) -> Rules:
     }
 
 
-REASONING_LENGTH = 4000
-SUMMARY_LENGTH = 2000
-
-
-def checked_assessments(df: DataFrame) -> DataFrame:
-    """Assessments with their broken rules; texts are stored up to a fixed length, the summary as JSON."""
-    summary = F.substring("evidence_summary", 1, SUMMARY_LENGTH).alias("summary")
-    return (
-        with_reasons(df, ASSESSMENT_RULES)
-        .withColumn("reasoning", F.substring("reasoning", 1, REASONING_LENGTH))
-        .withColumn("evidence", F.to_json(F.struct(summary)))
-        .drop("evidence_summary")
-    )
+def length_rules(**longest: int | None) -> Rules:
+    """A rule for every column with a longest length; texts are never cut, over-long ones are reported."""
+    return {f"{column}_length": f"{column} IS NULL OR length({column}) <= {n}" for column, n in longest.items() if n is not None}
+
+
+def checked_assessments(df: DataFrame, reasoning_length: int | None = None, summary_length: int | None = None) -> DataFrame:
+    """Assessments with their broken rules, the summary as JSON; lengths are unbounded unless given."""
+    rules = ASSESSMENT_RULES | length_rules(reasoning=reasoning_length, evidence_summary=summary_length)
+    summary = F.col("evidence_summary").alias("summary")
+    return with_reasons(df, rules).withColumn("evidence", F.to_json(F.struct(summary))).drop("evidence_summary")
 
 
-def checked_forecasts(df: DataFrame, now: str) -> DataFrame:
+def checked_forecasts(df: DataFrame, now: str, rationale_length: int | None = None) -> DataFrame:
     """Forecasts with their broken rules; the target is the hour it falls in."""
-    return (
-        with_reasons(df, forecast_rules(now))
-        .withColumn("target_hour", F.date_trunc("hour", "target_hour"))
-        .withColumn("rationale", F.substring("rationale", 1, SUMMARY_LENGTH))
-    )
+    rules = forecast_rules(now) | length_rules(rationale=rationale_length)
+    return with_reasons(df, rules).withColumn("target_hour", F.date_trunc("hour", "target_hour"))
+
+
+def checked_reviews(df: DataFrame) -> DataFrame:
+    """Reviews with their broken rules; only those without one are fit to be appended."""
+    return with_reasons(df, REVIEW_RULES)

@@ -34,7 +34,7 @@ def to_positions(states: DataFrame) -> DataFrame:
         F.col("true_track").alias("track_deg"),
         units.ms_to_fpm(F.col("vertical_rate")).alias("vr_fpm"),
         "on_ground",
-        "squawk",
+        "transponder_code",
         *kept,
     )
 

@@ -14,8 +14,6 @@ from trackflow.functions.text import display_name
 from trackflow.operators.joins import flag_members
 from trackflow.plans.analytics import after
 
-SMALL_PICK = 10_000  # a picked list up to this long may be copied to every task
-
 
 def latest_by(df: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
     """Last value of ``columns`` per key."""
@@ -47,11 +45,9 @@ def newest(events: DataFrame, limit: int, order: str = "started_at", tie: str =
     return events.orderBy(F.col(order).desc(), tie).limit(limit)
 
 
-def last_of_picked(picked: DataFrame, facts: DataFrame, order: Sequence[str], limit: int) -> DataFrame:
+def last_of_picked(picked: DataFrame, facts: DataFrame, order: Sequence[str]) -> DataFrame:
     """Latest fact of each picked event. Facts of other events are dropped before any shuffle."""
     ids = picked.select("event_id")
-    if limit <= SMALL_PICK:
-        ids = F.broadcast(ids)
     rest = [c for c in facts.columns if c != "event_id"]
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("last")
     return facts.join(ids, "event_id", "left_semi").groupBy("event_id").agg(last).select("event_id", "last.*")
@@ -64,13 +60,13 @@ def event_queue(
     picked = newest(after(events, "started_at", now, f"{hours} HOURS"), limit)
     said = last_of_picked(
         picked,
-        assessments.select("event_id", "created_at", "assessment_id", "cause", "severity", "confidence", "model_version"),
-        ["created_at", "assessment_id"], limit,
+        assessments.select("event_id", "created_at", "assessment_id", "cause", "severity", "confidence", "reasoning", "evidence", "model_version"),
+        ["created_at", "assessment_id"],
     ).drop("created_at")
     judged = last_of_picked(
         picked,
         reviews.select("event_id", "reviewed_at", "review_id", "verdict", "corrected_cause", "notes", "reviewer"),
-        ["reviewed_at", "review_id"], limit,
+        ["reviewed_at", "review_id"],
     ).drop("review_id")
     return (
         picked.select(
@@ -92,11 +88,11 @@ def open_events(
     picked = newest(after(chosen, "started_at", now, f"{hours} HOURS"), limit)
     said = last_of_picked(
         picked, assessments.select("event_id", "created_at", "assessment_id", "cause", "confidence"),
-        ["created_at", "assessment_id"], limit,
+        ["created_at", "assessment_id"],
     )
     judged = last_of_picked(
         picked, reviews.select("event_id", "reviewed_at", "review_id", "verdict", "corrected_cause"),
-        ["reviewed_at", "review_id"], limit,
+        ["reviewed_at", "review_id"],
     )
     return (
         picked.select(

@@ -7,7 +7,7 @@ STATES = (
     "poll_id STRING, fetched_at DOUBLE, api_time BIGINT, icao24 STRING, callsign STRING, "
     "origin_country STRING, time_position BIGINT, last_contact BIGINT, longitude DOUBLE, latitude DOUBLE, "
     "baro_altitude DOUBLE, on_ground BOOLEAN, velocity DOUBLE, true_track DOUBLE, vertical_rate DOUBLE, "
-    "geo_altitude DOUBLE, squawk STRING, spi BOOLEAN, position_source INT, category INT"
+    "geo_altitude DOUBLE, transponder_code STRING, spi BOOLEAN, position_source INT, category INT"
 )
 WEATHER = "kind STRING, fetched_at DOUBLE, obs_time BIGINT, raw_json STRING"
 
@@ -15,16 +15,22 @@ WEATHER = "kind STRING, fetched_at DOUBLE, obs_time BIGINT, raw_json STRING"
 VECTOR_FIELDS = (
     "icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude", "latitude",
     "baro_altitude", "on_ground", "velocity", "true_track", "vertical_rate", "sensors", "geo_altitude",
-    "squawk", "spi", "position_source", "category",
+    "transponder_code", "spi", "position_source", "category",
 )
 
 # Element of the object feed's array; altitude stays text because it may hold the word "ground".
 OBJECT_REPORT = (
     "hex STRING, flight STRING, alt_baro STRING, alt_geom STRING, gs DOUBLE, track DOUBLE, "
-    "baro_rate DOUBLE, geom_rate DOUBLE, squawk STRING, lat DOUBLE, lon DOUBLE, seen_pos DOUBLE, "
+    "baro_rate DOUBLE, geom_rate DOUBLE, lat DOUBLE, lon DOUBLE, seen_pos DOUBLE, "
     "seen DOUBLE, spi STRING, category STRING"
 )
-OBJECT_BODY = f"now BIGINT, ac ARRAY<STRUCT<{OBJECT_REPORT}>>, aircraft ARRAY<STRUCT<{OBJECT_REPORT}>>"
+
+
+def object_body(code_field: str) -> str:
+    """Schema of an object feed response; the caller names the field of the transponder's code."""
+    report = f"{OBJECT_REPORT}, `{code_field}` STRING"
+    return f"now DOUBLE, ac ARRAY<STRUCT<{report}>>, aircraft ARRAY<STRUCT<{report}>>"
+
 
 REFERENCE_COLUMNS = (
     "icao24", "registration", "typecode", "model", "manufacturername", "operator", "operatoricao",

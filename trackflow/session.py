@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,19 +27,7 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_base: list[str] = []
-
-
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared folder, ``spark.checkpoint.dir``.
-
-    Only a local session, where driver and executors are one process, may leave it unset.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        if not _local_base:
-            _local_base.append(tempfile.mkdtemp(prefix="trackflow-"))
-        base = _local_base[0]
+    """A new folder below ``spark.checkpoint.dir``, on every master; below the warehouse, which is shared as well, where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

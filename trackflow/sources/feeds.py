@@ -20,17 +20,25 @@ def number_or_null(c: Column) -> Column:
 
 
 def _states(df: DataFrame) -> DataFrame:
-    """Cast to the landing schema, in its column order."""
-    types = dict(part.split() for part in schemas.STATES.split(", "))
-    return df.select(*[F.col(n).cast(t.lower()).alias(n) for n, t in types.items()])
+    """The landing schema, in its column order. A malformed value is null; whole numbers lose their fraction."""
+    types = dict(part.lower().split() for part in schemas.STATES.split(", "))
 
+    def typed(name: str, kind: str) -> Column:
+        if kind == "double":
+            return F.col(name).try_cast("double") + F.lit(0.0)  # no negative zero
+        whole = F.col(name).try_cast("double") if kind in ("bigint", "int") else F.col(name)
+        return whole.try_cast(kind)
 
-def object_reports(responses: DataFrame) -> DataFrame:
+    return df.select(*[typed(n, t).alias(n) for n, t in types.items()])
+
+
+def object_reports(responses: DataFrame, code_field: str = "transponder_code") -> DataFrame:
     """Landing rows from (poll_id, fetched_at, body) responses holding an array of objects.
 
-    The array is named ``ac`` or ``aircraft``; reports without a position are left out.
+    The array is named ``ac`` or ``aircraft``; reports without a position are left out. ``code_field`` names the field
+    of a report that holds the transponder's code.
     """
-    body = F.from_json("body", schemas.OBJECT_BODY)
+    body = F.from_json("body", schemas.object_body(code_field))
     reports = F.when(F.size("parsed.ac") > 0, F.col("parsed.ac")).otherwise(F.col("parsed.aircraft"))
     stamped = F.when(F.col("parsed.now") != 0, F.col("parsed.now") / 1000.0).otherwise(F.col("fetched_at"))
     r = F.col
@@ -58,7 +66,7 @@ def object_reports(responses: DataFrame) -> DataFrame:
             r("r.track").alias("true_track"),
             units.fpm_to_ms(climb).alias("vertical_rate"),
             units.feet_to_metres(number_or_null(r("r.alt_geom"))).alias("geo_altitude"),
-            r("r.squawk").alias("squawk"),
+            r(f"r.`{code_field}`").alias("transponder_code"),
             (~F.coalesce(r("r.spi"), F.lit("0")).isin("0", "false", "")).alias("spi"),
             F.lit(None).alias("position_source"),
             F.lit(None).alias("category"),

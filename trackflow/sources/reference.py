@@ -12,9 +12,19 @@ from trackflow.functions.text import clean_key
 from trackflow.schemas import REFERENCE, REFERENCE_COLUMNS
 
 
-def read_reference_csv(spark: SparkSession, path: str, quote: str = "'") -> DataFrame:
-    """Header-driven CSV; quoted fields may span lines."""
-    return spark.read.option("header", True).option("quote", quote).option("multiLine", True).csv(path)
+def quote_of(spark: SparkSession, path: str) -> str:
+    """The quote character, from the first line: an apostrophe if the header begins with one."""
+    first = spark.read.text(path).first()  # one line
+    return "'" if first and first[0].startswith("'") else '"'
+
+
+def read_reference_csv(spark: SparkSession, path: str, quote: str | None = None, multi_line: bool = True) -> DataFrame:
+    """Header-driven CSV; a doubled quote inside a quoted field is one quote, a backslash is a character like any other.
+
+    Quoted fields may span lines; a file is then read by one task, so give up ``multi_line`` for large files without them.
+    """
+    quote = quote or quote_of(spark, path)
+    return spark.read.option("header", True).option("quote", quote).option("escape", quote).option("multiLine", multi_line).csv(path)
 
 
 def with_columns(df: DataFrame, columns: Sequence[str] = REFERENCE_COLUMNS) -> DataFrame:

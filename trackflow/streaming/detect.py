@@ -1,7 +1,8 @@
 """Episode detection on a stream of positions.
 
-Each micro-batch looks at the keys it brought, over the look-back window, with the same operators
-as a batch run. What is new or extended is appended to an episode log; the current episode table
+Each micro-batch looks at the keys it brought, from the look-back before each key's oldest new report on, with the same
+operators as a batch run, so a backlog or a report from the future loses nothing. Episodes near the left edge of a key's
+window may have begun before it and are left to earlier batches, unless the key has no report just before the window. What is new or extended is appended to an episode log; the current episode table
 is a fold of that log. A repeated batch rewrites its own log partitions, so it changes nothing.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trackflow import schemas
 from trackflow.config import TrackRules
-from trackflow.operators.episodes import conform, episodes_in_window
+from trackflow.operators.episodes import conform, episodes
 
 LOG_SCHEMA = schemas.EPISODES + ", detected_at TIMESTAMP, event_date DATE, batch_id BIGINT"
 
@@ -81,16 +82,20 @@ def detect_stream(
     spark = positions.sparkSession
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.agg(F.max(c.ts)).first()[0]  # a single value
-        if newest is None:
+        look, gap = (F.make_dt_interval(secs=F.lit(float(s))) for s in (rules.lookback_s, rules.visit_gap_s))
+        begun = batch.groupBy(c.key).agg((F.min(c.ts) - look).alias("window_start"))
+        floor = begun.agg(F.min("window_start")).first()[0]  # a single value
+        if floor is None:
             return
-        start = F.lit(newest) - F.make_dt_interval(secs=F.lit(float(rules.lookback_s)))
-        keys = batch.select(c.key).distinct()
-        recent = history().where(F.col("event_date") >= F.to_date(start)).join(keys, c.key, "left_semi")
-        found = conform(episodes_in_window(recent, start, rules))
-        earlier = read_log(spark, log_path).where(
-            (F.col("event_date") >= F.to_date(start)) & (F.col("batch_id") < batch_id)
-        )
+        day = F.to_date(F.lit(floor) - gap)
+        read = history().where(F.col("event_date") >= day).join(begun, c.key).where(F.col(c.ts) > F.col("window_start") - gap)
+        cut = read.where(F.col(c.ts) <= F.col("window_start")).select(F.col(c.key).cast("string").alias("icao24")).distinct()
+        edges = begun.select(F.col(c.key).cast("string").alias("icao24"), "window_start").join(cut, "icao24")
+        every = conform(episodes(read.where(F.col(c.ts) > F.col("window_start")).drop("window_start"), rules))
+        margin = F.make_dt_interval(secs=F.lit(float(rules.edge_margin_s)))
+        found = every.join(edges, "icao24", "left").where(F.col("window_start").isNull() | (F.col("started_at") >= F.col("window_start") + margin))
+        found = found.select(*every.columns)
+        earlier = read_log(spark, log_path).where((F.col("event_date") >= day) & (F.col("batch_id") < batch_id))
         write_entries(later_or_new(found, fold_log(earlier)), batch_id, log_path, now())
 
     spark.createDataFrame([], LOG_SCHEMA).write.mode("append").parquet(log_path)
