@@ -198,7 +198,7 @@ def test_cause_labels(spark):
     ]
     got = {r.event_id: (r.cause, r.severity) for r in evidence.label_causes(spark.createDataFrame(rows, schema)).collect()}
     assert got == {
-        "gust": ("wind", 1), "mist": ("low_visibility_cloud", 2), "turn": ("runway_change", 3), "fine": ("other", 2), "many": ("traffic_volume", 1),
+        "gust": ("wind", 2), "mist": ("low_visibility_cloud", 2), "turn": ("runway_change", 3), "fine": ("other", 2), "many": ("traffic_volume", 2),
     }
 
 
@@ -213,3 +213,22 @@ def test_histogram_and_sweep(spark):
 def test_status_counts_keep_zeros(spark):
     df = spark.createDataFrame([("a",), ("a",), ("other",)], "status string")
     assert {r.status: r.n for r in analytics.status_counts(df, ["a", "b"]).collect()} == {"a": 2, "b": 0}
+
+
+def test_repeated_go_arounds_are_severe(spark):
+    events = spark.createDataFrame([("a", "go_around", "k1"), ("b", "go_around", "k1"), ("c", "go_around", "k2"), ("d", "holding", "k1")], "event_id string, event_type string, icao24 string")
+    got = {r.event_id: r.repeated for r in evidence.with_repeats(events.select("event_id"), events).collect()}
+    assert got == {"a": True, "b": True, "c": False, "d": False}
+
+
+def test_merge_touches_only_its_days(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = "event_id string, started_at timestamp, ended_at timestamp, n int"
+    day = lambda d, h=0: datetime(2026, 1, d, h)
+    upsert.write_days(spark.createDataFrame([(f"e{d}", day(d), day(d, 1), 0) for d in (1, 2, 3)], schema), path, "started_at")
+    files = lambda: {f for f in spark.read.parquet(path).inputFiles() if "2026-01-02" not in f}
+    before = files()
+    source = spark.createDataFrame([("e2", day(2), day(2, 5), 7), ("f2", day(2, 3), day(2, 4), 8)], schema)
+    upsert.merge_days(spark, path, source, lambda t, s: upsert.extend_later(t, s, "event_id", {"n": F.col("s.n")}), "started_at")
+    assert files() == before and len(before) == 2
+    assert sorted((r.event_id, r.n) for r in spark.read.parquet(path).collect()) == [("e1", 0), ("e2", 7), ("e3", 0), ("f2", 8)]

@@ -9,6 +9,7 @@ from trackflow.catalog.registry import query, rounded, steady_sql
 from trackflow.config import STACKS
 from trackflow.operators import cdc, occupancy, upsert
 from trackflow.plans import analytics as A
+from trackflow.session import shared_folder
 
 DAY = 86400
 SPAN = (P.EPOCH, P.EPOCH + 31 * DAY)  # every minute the events touch
@@ -117,17 +118,25 @@ def found(spark, sf_dir):
     return P.load(spark, sf_dir, FOUND)
 
 
+def through_table(spark, target, source, merge, at):
+    """The stored target after a merge that rewrites only the days of the source."""
+    path = shared_folder(spark, "table")
+    upsert.write_days(target, path, at)
+    upsert.merge_days(spark, path, source, merge, at)
+    return spark.read.parquet(path).drop("event_date")
+
+
 @query("merge_episodes", f"{MERGE} {_merged({**_SHARED, **_GOLD_ONLY}, _FIXED)}")
 def merge_episodes(spark, sf_dir):
     target = gold(spark, sf_dir).drop("status", "event_no")
-    return upsert.merge_episodes(target, found(spark, sf_dir), now())
+    return through_table(spark, target, found(spark, sf_dir), lambda t, s: upsert.merge_episodes(t, s, now()), "started_at")
 
 
 @query("upsert_queue", f"{MERGE} {_merged({**_SHARED, 'status': (repr('detected'), 't.status')}, _FIXED)}")
 def upsert_queue(spark, sf_dir):
     extra = ["min_alt_ft", "max_alt_ft", "max_turn_deg", "n_points"]
     target = gold(spark, sf_dir).drop(*extra, "event_no")
-    return upsert.upsert_queue(target, found(spark, sf_dir).drop(*extra), now())
+    return through_table(spark, target, found(spark, sf_dir).drop(*extra), lambda t, s: upsert.upsert_queue(t, s, now()), "started_at")
 
 
 @query("changed_episodes", f"{MERGE} SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.event_id = s.event_id AND t.ended_at = s.ended_at)")
@@ -137,17 +146,17 @@ def changed_episodes(spark, sf_dir):
 
 @query(
     "merge_occupancy",
-    f"""{EPS}, {_OCC}, old AS (SELECT minute, stack, holding_count + 1 AS holding_count FROM occ WHERE minute < make_timestamp({SPAN[0] + 15 * DAY}000000)),
-    new AS (SELECT * FROM occ WHERE minute >= make_timestamp({SPAN[0] + 15 * DAY - 1800}000000))
+    f"""{EPS}, {_OCC}, old AS (SELECT minute, stack, holding_count + 1 AS holding_count, minute AS updated_at FROM occ WHERE minute < make_timestamp({SPAN[0] + 15 * DAY}000000)),
+    new AS (SELECT *, {NOW_SQL} AS updated_at FROM occ WHERE minute >= make_timestamp({SPAN[0] + 15 * DAY - 1800}000000))
     SELECT coalesce(new.minute, old.minute) AS minute, coalesce(new.stack, old.stack) AS stack,
-    coalesce(new.holding_count, old.holding_count) AS holding_count FROM old FULL OUTER JOIN new ON old.minute = new.minute AND old.stack = new.stack""",
+    coalesce(new.holding_count, old.holding_count) AS holding_count, coalesce(new.updated_at, old.updated_at) AS updated_at FROM old FULL OUTER JOIN new ON old.minute = new.minute AND old.stack = new.stack""",
 )
 def merge_occupancy(spark, sf_dir):
     occ = occupancy.occupancy(episodes(spark, sf_dir), *SPAN)
     cut = F.timestamp_seconds(F.lit(SPAN[0] + 15 * DAY))
-    old = occ.where(F.col("minute") < cut).withColumn("holding_count", F.col("holding_count") + 1)
-    new = occ.where(F.col("minute") >= cut - F.expr("INTERVAL 30 MINUTES"))
-    return upsert.replace_by_key(old, new, ["minute", "stack"])
+    old = occ.where(F.col("minute") < cut).withColumns({"holding_count": F.col("holding_count") + 1, "updated_at": F.col("minute")})
+    new = occ.where(F.col("minute") >= cut - F.expr("INTERVAL 30 MINUTES")).withColumn("updated_at", now())
+    return through_table(spark, old, new, lambda t, s: upsert.replace_by_key(t, s, ["minute", "stack"]), "minute")
 
 
 # Assessments already stored (one version) and a batch with repeats per event and version.

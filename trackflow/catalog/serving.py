@@ -259,10 +259,11 @@ def evidence_bundle(spark, sf_dir):
       WHEN min_visibility_sm < 3 OR min_ceiling_ft < 1000 OR instrument_weather THEN 'low_visibility_cloud'
       WHEN event_type = 'go_around' AND (wind_dir_deg BETWEEN 140 AND 320) <> starts_with(location, '27') THEN 'runway_change'
       WHEN busy_stacks >= 2 THEN 'traffic_volume' ELSE 'other' END AS cause,
-    CAST(CASE WHEN duration_s > 1200 THEN 3 WHEN duration_s >= 600 THEN 2 ELSE 1 END AS INTEGER) AS severity FROM bundle""",
+    CAST(CASE WHEN duration_s > 1200 OR event_id IN (SELECT event_id FROM e WHERE event_type = 'go_around'
+      QUALIFY count(*) OVER (PARTITION BY icao24) > 1) THEN 3 WHEN duration_s >= 600 OR busy_stacks >= 2 THEN 2 ELSE 1 END AS INTEGER) AS severity FROM bundle""",
 )
 def rule_cause_label(spark, sf_dir):
-    return V.label_causes(bundle(spark, sf_dir))
+    return V.label_causes(V.with_repeats(bundle(spark, sf_dir), episodes(spark, sf_dir)))
 
 
 # --- threshold probe -------------------------------------------------------------------------

@@ -1,18 +1,19 @@
 """Merging into tables, written as joins of the current table with the incoming rows.
 
-Plain parquet tables have no MERGE; each operator returns the table's next content, which the
-caller writes to a new folder or partition. Where a catalog offers MERGE the same column policies
-apply through ``DataFrame.mergeInto``.
+Each operator returns the next content of the rows it is given. ``merge_days`` applies one of them to a stored table
+and reads and rewrites only the days that the incoming rows touch. Where a catalog offers MERGE the same column
+policies apply through ``DataFrame.mergeInto``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackflow.operators.silver import first_of
+from trackflow.session import shared_folder
 
 
 def extend_later(
@@ -62,6 +63,32 @@ def upsert_queue(target: DataFrame, found: DataFrame, now: Column) -> DataFrame:
     return extend_later(target, fresh, "event_id", policy)
 
 
+def write_days(df: DataFrame, path: str, at: str, day: str = "event_date") -> None:
+    """Replace the days that ``df`` holds in a table partitioned by the day of ``at``; other days stay as they are."""
+    dated = df.withColumn(day, F.to_date(at))
+    dated.repartition(day, F.date_trunc("hour", at)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
+def merge_days(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    at: str,
+    day: str = "event_date",
+) -> None:
+    """Merge ``source`` into the table at ``path``, partitioned by the day of ``at``, through ``merge(target, source)``.
+
+    A row's day must not change by the merge. Only the touched days are read (a partition filter) and replaced; their next
+    content is written to the shared folder first, since a table cannot be overwritten while it is read.
+    """
+    days = sorted(r[0] for r in source.select(F.to_date(at)).distinct().collect() if r[0])  # a calendar's worth at most
+    touched = spark.read.parquet(path).where(F.col(day).isin(days)).drop(day)
+    scratch = shared_folder(spark, "merge")
+    merge(touched, source).write.parquet(scratch)
+    write_days(spark.read.parquet(scratch), path, at, day)
+
+
 def changed(found: DataFrame, target: DataFrame, key: str = "event_id", mark: str = "ended_at") -> DataFrame:
     """Rows that are new or whose mark differs from the table's."""
     return found.join(target.select(key, mark), [key, mark], "left_anti")

@@ -91,8 +91,16 @@ def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def with_repeats(bundle: DataFrame, events: DataFrame) -> DataFrame:
+    """Add ``repeated``: the event is one of several go-arounds of its key."""
+    tries = events.where("event_type = 'go_around'")
+    several = tries.groupBy("icao24").agg(F.count(F.lit(1)).alias("tries")).where("tries > 1").select("icao24")
+    ids = tries.join(several, "icao24").select("event_id", F.lit(True).alias("repeated"))
+    return bundle.join(ids, "event_id", "left").withColumn("repeated", F.coalesce("repeated", F.lit(False)))
+
+
 def label_causes(bundle: DataFrame) -> DataFrame:
-    """Cause by fixed thresholds, tried in order; severity by the length of the hold.
+    """Cause by fixed thresholds, tried in order; severity by the length of the hold, busy stacks and repeated go-arounds.
 
     A go-around on a runway the wind speaks against counts as a runway change: wind from 140 to
     320 degrees favours westerly landings.
@@ -111,5 +119,7 @@ def label_causes(bundle: DataFrame) -> DataFrame:
         .when(F.col("busy_stacks") >= 2, "traffic_volume")
         .otherwise("other")
     )
-    severity = F.when(F.col("duration_s") > 1200, 3).when(F.col("duration_s") >= 600, 2).otherwise(1)
+    several = F.col("repeated") if "repeated" in bundle.columns else F.lit(False)
+    severe, moderate = (F.col("duration_s") > 1200) | several, (F.col("duration_s") >= 600) | (F.col("busy_stacks") >= 2)
+    severity = F.when(severe, 3).when(moderate, 2).otherwise(1)
     return bundle.select("event_id", cause.alias("cause"), severity.alias("severity"))
