@@ -53,16 +53,34 @@ def test_clean_stream_equals_batch(spark, tmp_path):
 
 def test_first_arrival_wins_and_late_rows_go(spark, tmp_path):
     source, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "c"))
+    dropped = []
 
     def deliver(*rows):
         land(spark, source, [{"icao24": k, "time_position": t, "fetched_at": f} for k, t, f in rows])
         states = landing.landing_stream(spark, source, schemas.STATES)
-        etl.write_positions(etl.clean_stream(states, reference.empty_reference(spark)), table, checkpoint).awaitTermination()
+        query = etl.write_positions(etl.clean_stream(states, reference.empty_reference(spark)), table, checkpoint)
+        query.awaitTermination()
+        dropped.append(etl.dropped_by_watermark(query))
         return sorted((r.icao24, int(r.event_ts.timestamp()), int(r.fetched_ts.timestamp())) for r in spark.read.parquet(table).collect())
 
     assert deliver(("a", 600, 601.0)) == [("a", 600, 601)]
     # 480 lies on the watermark (600 - 120) and is dropped; 481 is kept; a copy of 600 is not new.
     assert deliver(("b", 480, 482.0), ("b", 481, 482.0), ("a", 600, 602.0)) == [("a", 600, 601), ("b", 481, 482)]
+    assert dropped[0] == 0 and dropped[1] >= 1
+
+
+def test_a_running_stream_picks_up_new_files(spark, tmp_path):
+    source, table = str(tmp_path / "landing"), str(tmp_path / "table")
+    land(spark, source + "/2026-01-05", [{"icao24": "a", "time_position": 1000, "fetched_at": 1001.0}])
+    query = etl.land_states(spark, source, table, str(tmp_path / "c"), every="1 second")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and spark.read.parquet(table).count() == 1
+        land(spark, source + "/2026-01-05", [{"icao24": "b", "time_position": 1000, "fetched_at": 1001.0}])
+        query.processAllAvailable()
+        assert spark.read.parquet(table).count() == 2
+    finally:
+        query.stop()
 
 
 def positions(spark, rows):

@@ -43,3 +43,8 @@ def clean_stream(
 
 def write_positions(positions: DataFrame, table: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     return append_stream(positions, table, checkpoint, partition_by=["event_date"], every=every)
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows that came too late for the watermark, over the batches whose progress the query still holds."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
