@@ -76,6 +76,7 @@ def merge_days(
     merge: Callable[[DataFrame, DataFrame], DataFrame],
     at: str,
     day: str = "event_date",
+    schema: str | None = None,
 ) -> None:
     """Merge ``source`` into the table at ``path``, partitioned by the day of ``at``, through ``merge(target, source)``.
 
@@ -83,7 +84,8 @@ def merge_days(
     content is written to the shared folder first, since a table cannot be overwritten while it is read.
     """
     days = sorted(r[0] for r in source.select(F.to_date(at)).distinct().collect() if r[0])  # a calendar's worth at most
-    touched = spark.read.parquet(path).where(F.col(day).isin(days)).drop(day)
+    table = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    touched = table.where(F.col(day).isin(days)).drop(day)
     scratch = shared_folder(spark, "merge")
     merge(touched, source).write.parquet(scratch)
     write_days(spark.read.parquet(scratch), path, at, day)

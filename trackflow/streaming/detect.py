@@ -3,7 +3,7 @@
 Each micro-batch looks at the keys it brought, from the look-back before each key's oldest new report on, with the same
 operators as a batch run, so a backlog or a report from the future loses nothing. Episodes near the left edge of a key's
 window may have begun before it and are left to earlier batches, unless the key has no report just before the window. What is new or extended is appended to an episode log; the current episode table
-is a fold of that log. A repeated batch rewrites its own log partitions, so it changes nothing.
+is a fold of that log. A repeated batch replaces its own log entries, so it changes nothing.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from trackflow import schemas
 from trackflow.config import TrackRules
 from trackflow.operators.episodes import conform, episodes
+from trackflow.operators.upsert import merge_days
 
-LOG_SCHEMA = schemas.EPISODES + ", detected_at TIMESTAMP, event_date DATE, batch_id BIGINT"
+LOG_SCHEMA = schemas.EPISODES + ", detected_at TIMESTAMP, batch_id BIGINT, event_date DATE"
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -56,16 +57,13 @@ def later_or_new(found: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def write_entries(found: DataFrame, batch_id: int, path: str, now: Column) -> None:
-    """Log entries of one batch; a repeated batch replaces its own partitions."""
-    (
-        found.withColumn("detected_at", now)
-        .withColumn("event_date", F.to_date("started_at"))
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
-        .parquet(path)
-    )
+    """Log entries of one batch, in the days where their episodes began; a repeated batch replaces its own entries.
+
+    The touched days are rewritten, so a day's entries stay in few files however many batches bring some.
+    """
+    entries = found.withColumn("detected_at", now).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    others = lambda log, new: log.where(F.col("batch_id") != batch_id).unionByName(new)
+    merge_days(found.sparkSession, path, entries, others, "started_at", schema=LOG_SCHEMA)
 
 
 def detect_stream(
