@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session with the settings the library is tested under."""
+    """A local session with the settings the library is tested under; its warehouse is a new temporary folder."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("trackflow")
@@ -17,6 +18,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="trackflow-"))
         .getOrCreate()
     )
 
