@@ -6,7 +6,3 @@ def shared(spark, tmp_path_factory):
     """Staged tables go to a folder of the test run unless the session names one."""
     if spark.conf.get("spark.checkpoint.dir", None) is None:
         spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-
-
-def rows(df):
-    return sorted(map(tuple, df.collect()), key=repr)
