@@ -71,7 +71,7 @@ def line_counts(docs: DataFrame, path: str, rule: str = "start", id_col: str = "
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def fn(keys: list, texts: list) -> list:
-        bpe = tokenizer(path)
+        bpe = tokenizer(path, library=True)
         out: list[list] = []
         for text in texts:
             if not text:
@@ -97,7 +97,7 @@ def field_counts(rows: DataFrame, fields: list[str], path: str, separator: str =
     id_type = rows.schema[id_col].dataType.simpleString()
 
     def fn(keys: list, *columns: list) -> list:
-        bpe = tokenizer(path)
+        bpe = tokenizer(path, library=True)
         out = []
         for values in zip(*columns, strict=True):
             parts = [v or "" for v in values]
