@@ -1,7 +1,7 @@
 """SimHash fingerprints and their near duplicates, by tiled exact comparison.
 
 Fingerprints are cells by the population counts of their two halves; two fingerprints differ in at least as many bits as
-the counts of their halves differ, so only pairs of cells within the radius are compared, each cell cut into tiles of
+the counts of their halves differ, so only pairs of cells that can lie within the radius are compared, each cell cut into tiles of
 bounded size. Inside a pair of tiles, strips sorted by the population counts of the quarters are compared with exclusive
 or and bit counts, and strips too far apart are skipped. A pair of tiles returns a minimum spanning forest of its links,
 closest first: the same components as all links, without the pairs of a group.
@@ -133,13 +133,16 @@ def near_links(nodes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     """
     spark = ready(nodes.sparkSession)
     half = lambda bits: F.bit_count(F.shiftrightunsigned("fp", 32) if bits else F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
-    nodes = nodes.where("id IS NOT NULL AND fp IS NOT NULL").select("id", "fp", "size", half(1).alias("high"), half(0).alias("low"))
+    width = max(1, radius // 2)  # of a cell, in bits of a population count: wider cells mean fewer copies of a node
+    cell = lambda bits: F.floor(half(bits) / width).cast("int")
+    apart = lambda a, b: max(0, (abs(a - b) - 1) * width + 1)  # noqa: E731  # least difference of counts in two cells
+    nodes = nodes.where("id IS NOT NULL AND fp IS NOT NULL").select("id", "fp", "size", cell(1).alias("high"), cell(0).alias("low"))
     cells = {(r[0], r[1]): -(-r[2] // tile) for r in nodes.groupBy("high", "low").count().collect()}
     order = {c: k for k, c in enumerate(sorted(cells))}
     meets = []  # of a cell: the pair of cells, its side, and into how many tiles both are cut
     for (h, w), n in cells.items():
         for (h2, w2), n2 in cells.items():
-            if order[h, w] <= order[h2, w2] and abs(h - h2) + abs(w - w2) <= radius:
+            if order[h, w] <= order[h2, w2] and apart(h, h2) + apart(w, w2) <= radius:
                 pair = order[h, w], order[h2, w2]
                 meets.append((h, w, *pair, 0, n, n2))
                 if pair[0] != pair[1]:
@@ -147,7 +150,7 @@ def near_links(nodes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
                 elif n > 1:
                     meets.append((h2, w2, *pair, 1, n, n))
     partners = spark.createDataFrame(meets, "high int, low int, cell_a int, cell_b int, side int, own int, other int")
-    # all pairs of cells: at most 1089 x 41 rows of a table that no data enlarges
+    # pairs of cells within the radius, a table that no data enlarges
     dealt = nodes.join(F.broadcast(partners), ["high", "low"]).withColumn("tile", F.pmod(F.xxhash64("fp", "id"), F.col("own")).cast("int"))
     same = F.col("cell_a") == F.col("cell_b")
     first = F.when(same & (F.col("side") == 0), F.col("tile")).otherwise(0)
