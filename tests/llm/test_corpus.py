@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trackflow.llm import neighbours, repeats, simhash
+from trackflow.llm import neighbours, prefix, repeats, simhash
 from trackflow.llm.graph import components
 from trackflow.llm.q_near import op1_simhash
 from trackflow.llm.q_repeats import op3_suffix_array_dedup
@@ -98,6 +98,42 @@ def test_near_duplicates_edge_rows(spark):
     assert simhash.near_groups(df.limit(0)).count() == simhash.fingerprint_groups(df.limit(0), 4, 4).count() == 0
 
 
+def brute_near(texts, words=5, similarity=0.8):
+    """The smallest reachable id over all pairs of texts alike by Jaccard."""
+    sets = {i: set(simhash.shingle_hashes(t, words).tolist()) for i, t in texts.items()}
+    alike = lambda a, b: len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])
+    return smallest_reachable(texts, [(a, b) for a in texts for b in texts if a < b and alike(a, b)])
+
+
+def family(rng, base, members, edits):
+    """Copies of one template, each with so many edits of single words."""
+    out = []
+    for _ in range(members):
+        own = [*base]
+        for at in rng.sample(range(len(base)), rng.randint(*edits)):
+            own[at] = f"x{rng.randint(0, 10**9)}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize(("few", "tile"), [(16, 2048), (1, 5)])
+def test_near_groups_of_templates_against_brute_force(spark, monkeypatch, few, tile):
+    """Many pairs of a family just miss the likeness, so links that stand for others fail."""
+    monkeypatch.setattr(prefix, "FEW", few)
+    monkeypatch.setattr(prefix, "TILE", tile)
+    rng = random.Random(3)
+    texts = ["", " ", "a", "A b"]
+    for size in (60, 150, 250, 400):
+        for k in range(3):
+            base = [f"w{rng.randint(0, 10**9)}" for _ in range(size)]
+            texts += family(rng, base, 20, (size // 100, size // (90 - 15 * k) + 1))
+    texts = dict(enumerate(texts))
+    got = simhash.near_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    want = brute_near(texts)
+    assert {r.doc_id: r.component for r in got} == want and {r.doc_id for r in got if r.kept} == set(want.values())
+    assert 3 + 2 * 12 < len(set(want.values())) < len(texts) / 2  # some stay apart, some do not
+
+
 def brute_removed(texts, length):
     seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []

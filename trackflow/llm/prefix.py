@@ -1,0 +1,141 @@
+"""Similarity joins of sets by prefixes: every pair alike by Jaccard in a threshold or more, up to its components.
+
+In any one order of all elements, two sets of sizes m and n that alike share an element among the first m - ceil(t m) + 1 of one
+and the first n - ceil(t n) + 1 of the other. So sets meet by the elements of their prefixes, and are compared
+in full. The order puts first what a sample of the sets has seldom: it decides how many sets meet, not which links are found.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from trackflow.llm.work import map_rows, ready, staged
+
+#: Elements that the order is taken from, at most about so many.
+SAMPLE = 1 << 23
+COMMON = 4
+#: Sets that share an element: up to so many meet as pairs of rows, more in one task for each pair of tiles.
+FEW = 16
+TILE = 2048
+EPSILON = 1e-9
+
+
+def alike(shared: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
+    return shared >= similarity * (left + right - shared)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links of ``pairs`` (a, b) whose ``sets`` (id, elements: sorted unsigned 32-bit numbers as bytes) are alike."""
+    both = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("elements").alias("left")), "a")
+    both = both.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("right")), "b").select("a", "b", "left", "right")
+
+    def fn(a: list, b: list, left: list, right: list) -> list:
+        found = [[], []]
+        for i, j, x, y in zip(a, b, left, right, strict=True):
+            one, other = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+            if alike(len(np.intersect1d(one, other, assume_unique=True)), len(one), len(other), similarity):
+                found[0].append(i)
+                found[1].append(j)
+        return found
+
+    return map_rows(both, fn, "a long, b long")
+
+
+def common_elements(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Elements that many sets of a sample hold, sorted, and how many; a bounded table, from about ``SAMPLE`` elements."""
+    total = sets.agg(F.sum(F.length("elements") / 4)).first()[0] or 0
+    share = max(1, -(-int(total) // SAMPLE))
+    some = sets.where(F.pmod(F.xxhash64("elements"), F.lit(share)) == 0).select("elements")
+    each = map_rows(some, lambda xs: [[np.frombuffer(x, np.int32) for x in xs]], "elements array<int>").select(F.explode("elements").alias("element"))
+    found = each.groupBy("element").count().where(F.col("count") >= COMMON).toArrow()
+    element, count = found["element"].to_numpy().view(np.uint32), found["count"].to_numpy()
+    order = np.argsort(element)
+    return element[order], count[order]
+
+
+def prefix(own: np.ndarray, element: np.ndarray, count: np.ndarray, similarity: float) -> np.ndarray:
+    """The first elements of a set in the order of (count, element); empty sets share an element of their own."""
+    if not len(own):
+        return np.zeros(1, dtype=np.uint32)
+    seen = np.zeros(len(own), dtype=np.int64)
+    if len(element):
+        at = np.minimum(np.searchsorted(element, own), len(element) - 1)
+        seen = np.where(element[at] == own, count[at], 0)
+    size = len(own) - int(np.ceil(similarity * len(own) - EPSILON)) + 1
+    return own[np.lexsort((own, seen))[:size]]
+
+
+def alike_forest(sets: list[np.ndarray], label: np.ndarray, far: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
+    """Links that join the labels as all links between alike sets do; with ``far``, only links between its two sides count."""
+    size = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    _, element = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(size)
+    starts, marks = ends - size, np.zeros(int(element.max(initial=-1)) + 1, dtype=bool)
+    label = np.unique(label, return_inverse=True)[1]
+    largest = np.bincount(label).argmax()
+    links = []
+    for i in np.flatnonzero(label != largest):  # of two labels, one is not the largest
+        open_ = (label != label[i]) & (np.minimum(size, size[i]) >= similarity * np.maximum(size, size[i]) - EPSILON)
+        if far is not None:
+            open_ &= far != far[i]
+        if not open_.any():
+            continue
+        own = element[starts[i] : ends[i]]
+        marks[own] = True
+        below = np.concatenate(([0], np.cumsum(marks[element], dtype=np.int64)))
+        marks[own] = False
+        shared = below[ends] - below[starts]
+        for j in np.flatnonzero(open_ & alike(shared, size, size[i], similarity)):
+            if label[j] != label[i]:
+                links.append((int(i), int(j)))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def prefix_links(sets: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join the components in ``labels`` as all alike pairs do.
+
+    ``sets``: id long, elements binary (sorted unsigned 32-bit numbers), from a stored table. ``labels``: id, component; an id
+    that is missing there is its own component. Pairs inside a component are not compared.
+    """
+    spark = ready(sets.sparkSession)
+    element, count = common_elements(sets)
+
+    def fn(ids: list, parts: list, own: list) -> list:
+        first = [prefix(np.frombuffer(x, np.uint32), element, count, similarity).view(np.int32) for x in own]
+        return [ids, parts, [len(x) // 4 for x in own], first]
+
+    labelled = sets.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "elements")
+    rows = map_rows(labelled, fn, "id long, component long, size int, first array<int>")
+    rows = rows.select("id", "component", "size", F.posexplode("first").alias("at", "element"))
+    meet = Window.partitionBy("element")
+    rows = rows.withColumns({"n": F.count("*").over(meet), "lowest": F.min("component").over(meet), "highest": F.max("component").over(meet)})
+    live = staged(rows.where("lowest <> highest").drop("lowest", "highest"), "live")
+
+    left, right = (live.where(F.col("n") <= FEW).select("element", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "size", "at"))) for s in "ab")
+    rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))  # at the first shared element: all that can be shared
+    able = rest >= similarity / (1 + similarity) * (F.col("size_a") + F.col("size_b")) - EPSILON
+    able = (able | (F.greatest("size_a", "size_b") == 0)) & (F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b") - EPSILON)
+    pairs = left.join(right, "element").where((F.col("id_a") < F.col("id_b")) & (F.col("component_a") != F.col("component_b")) & able)
+    pairs = staged(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "pairs")
+
+    large = live.where(F.col("n") > FEW)
+    # elements that the same sets share: one of them is enough
+    alone = large.groupBy("element", "n").agg(F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
+    alone = alone.groupBy("n", "x", "y").agg(F.min("element").alias("element"))
+    dealt = large.join(alone.select("element"), "element").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
+    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")).withColumn("facing", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select("element", F.least("tile", "facing").alias("tile_a"), F.greatest("tile", "facing").alias("tile_b"), "tile", "id", "component")
+    dealt = dealt.join(sets.select("id", "elements"), "id")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        ids, tile = rows["id"].to_numpy(), rows["tile"].to_numpy()
+        far = None if rows["tile_a"][0] == rows["tile_b"][0] else tile == tile[0]
+        links = alike_forest([np.frombuffer(x, np.uint32) for x in rows["elements"].to_pylist()], rows["component"].to_numpy(), far, similarity)
+        return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
+
+    among = dealt.groupBy("element", "tile_a", "tile_b").applyInArrow(compare, "a long, b long")
+    return verified(pairs, sets, similarity).unionByName(among.distinct())

@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trackflow.llm import prefix
 from trackflow.llm.graph import components
 from trackflow.llm.work import map_rows, ready, staged
 
@@ -196,27 +197,27 @@ def near_groups(docs: DataFrame, shingle_words: int = 5, radius: int = 12, simil
     ``kept`` is true for the rows whose id is the smallest of their component.
 
     Links of the spanning forests within the radius are verified on the sets of shingles (32-bit hashes), after a test of their
-    sizes. Equal texts are one node. Rows with a null id are left out; null texts are empty and equal to each other.
+    sizes; they join most of a group. The forests follow bits, not likeness, so what they leave apart meets by the prefixes of
+    the sets: the components are those of all pairs. Equal texts are one node. Rows with a null id are left out; null texts are
+    empty and equal to each other.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.struct(F.sha2(text.cast("binary"), 256).alias("hash"), F.col(id_col).alias("doc_id")).alias("key"), text.alias("text"))
     marked = staged(fingerprints(keyed, shingle_words, "key", "text").select("key.*", "fp", "n_shingles"), "fingerprints")
     nodes = staged(marked.groupBy("hash", "fp", F.col("n_shingles").alias("size")).agg(F.min("doc_id").alias("id")), "nodes")
-    close = near_links(nodes.select("id", "fp", "size"), radius)
-    close = staged(close.where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")), "links")
-    wanted = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def fn(keys: list, texts: list) -> list:
-        return [keys, [np.unique(shingle_hashes(t, shingle_words).astype(np.uint32).view(np.int32)).tolist() for t in texts]]
+        return [keys, [np.unique(shingle_hashes(t, shingle_words).astype(np.uint32)).tobytes() for t in texts]]
 
     # a node is the first of its text, found by id and text, so copies do not meet
-    texts = keyed.select("doc_id", "key.hash", "text").join(nodes.select(F.col("id").alias("doc_id"), "hash").join(wanted, "doc_id"), ["doc_id", "hash"]).select("doc_id", "text")
-    sets = staged(map_rows(texts, fn, "doc_id long, hashes array<int>").dropDuplicates(["doc_id"]), "shingles")
-    with_a = close.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("left")), "a")
-    both = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("right")), "b")
-    shared = F.size(F.array_intersect("left", "right"))
-    linked = both.where(shared >= similarity * (F.size("left") + F.size("right") - shared)).select("a", "b")
-    found = components(linked)
+    texts = keyed.select("doc_id", "key.hash", "text").join(nodes.select(F.col("id").alias("doc_id"), "hash"), ["doc_id", "hash"]).select("doc_id", "text")
+    sets = staged(map_rows(texts, fn, "id long, elements binary").dropDuplicates(["id"]), "shingles")
+
+    close = near_links(nodes.select("id", "fp", "size"), radius)
+    close = staged(close.where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")), "links")
+    linked = staged(prefix.verified(close, sets, similarity), "verified")
+    rest = staged(prefix.prefix_links(sets, components(linked), similarity), "prefixes")
+    found = components(linked.unionByName(rest))
     owned = staged(nodes.join(found, "id", "left").select("hash", "id", F.coalesce("component", "id").alias("component")), "owned")
     of_text = marked.select("doc_id", "hash").join(owned, "hash")
     return of_text.select("doc_id", F.col("hash").alias("text_hash"), "component", ((F.col("doc_id") == F.col("component")) & (F.col("id") == F.col("component"))).alias("kept"))
