@@ -134,6 +134,18 @@ def test_near_groups_of_templates_against_brute_force(spark, monkeypatch, few, t
     assert 3 + 2 * 12 < len(set(want.values())) < len(texts) / 2  # some stay apart, some do not
 
 
+def test_different_texts_of_one_id_are_nodes_of_their_own(spark):
+    rng = random.Random(4)
+    one, other, third = ([f"w{rng.randint(0, 10**6)}" for _ in range(200)] for _ in range(3))
+    near = lambda words: " ".join([*words[:199], "end"])
+    rows = [(5, " ".join(one)), (5, " ".join(other)), (6, near(one)), (7, near(other)), (8, " ".join(third)), (8, near(third)), (8, near(third))]
+    got = simhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component) for r in got) == [(5, 5), (5, 5), (6, 5), (7, 5), (8, 8), (8, 8), (8, 8)]
+    stay = {(r.doc_id, r.text_hash) for r in got if r.kept}
+    assert sorted(d for d, _ in stay) == [5, 5, 8]
+    assert {h for d, h in stay if d == 5} == {hashlib.sha256(t.encode()).hexdigest() for _, t in rows[:2]}
+
+
 def brute_removed(texts, length):
     seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
