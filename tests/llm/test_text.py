@@ -190,6 +190,18 @@ def test_urls_against_brute_force(spark):
     assert marks == sorted(marks, reverse=True) and set(marks) == {"allow", "block"}  # one threshold parts them
 
 
+def test_models_judge_query_and_fragment(spark):
+    rules = [urls.Rule("allow", "good.org", "/"), urls.Rule("block", "bad.org", "/")]
+    given = [f"http://good.org/p?page={k}" for k in range(20)] + [f"http://bad.org/p#zzqx{k}" for k in range(20)]
+    given += ["http://c.net/p?page=7", "http://c.net/p#zzqx7", "HTTP://C.NET/p?page=7", "page=page=7", "zzqxzzqx", None, ""]
+    df = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    got = [(r.host, r.path, r.rule, r.verdict, r.score) for r in urls.filter_urls(df, rules, whole=True).orderBy("page_id").collect()][40:]
+    assert [x[:3] for x in got] == [("c.net", "/p", None)] * 3 + [("", "", None)] * 4
+    assert [x[3] for x in got[:5]] == ["allow", "block", "allow", "allow", "block"] and [x[4] for x in got[5:]] == [0.0, 0.0]
+    queried = spark.createDataFrame([(1, "http://X.net/A?b#c"), (2, None), (3, "x?y")], "id long, url string").orderBy("id")
+    assert [r[0] for r in queried.select(urls.whole_of(F.col("url"))).collect()] == ["http://x.net/A?b#c", "", "x?y"]
+
+
 def test_url_edges(spark):
     df = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
     assert urls.filter_urls(df, RULES).count() == len(URLS)

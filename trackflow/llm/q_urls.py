@@ -14,4 +14,4 @@ RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("
 @query("op4_url_filters")
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged."""
-    return filter_urls(table(spark, sf_dir, "pages"), RULES).drop("score")
+    return filter_urls(table(spark, sf_dir, "pages"), RULES, whole=True).drop("score")

@@ -38,6 +38,12 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def whole_of(url: Column) -> Column:
+    """The whole URL, null as empty, with its host in lower case."""
+    start = F.regexp_extract(url, r"(?s)^.*?://", 0)
+    return F.coalesce(F.concat(start, host_of(url), F.substr(url, F.length(start) + F.length(host_of(url)) + 1)), F.lit(""))
+
+
 def ruling(host: Column, path: Column, rules: list[Rule]) -> Column:
     """Struct (size, rule, verdict) of the longest rule that fits, null if none does; of equal ones the last in the alphabet."""
     fits = [
@@ -96,16 +102,17 @@ def threshold_of(scored: DataFrame) -> float:
     return float(row[0]) if row and row[0] is not None else 0.0
 
 
-def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", order: int = ORDER) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", order: int = ORDER, whole: bool = False) -> DataFrame:
     """The id, ``host``, ``path``, ``rule`` (null if none fits), ``verdict`` and ``score`` of every URL.
 
     A rule fits its host and all subdomains if the path starts with the rule's; the longest wins. Otherwise the models decide:
-    allow from the threshold on. A null URL, or one without ``://``, has an empty host and path and score 0. Repeated rows are
+    allow from the threshold on. They are trained on and judge the ``whole`` URL with its query and fragment, or else host and
+    path only. A null URL, or one without ``://``, has an empty host and path; a text that is empty has score 0. Repeated rows are
     judged alike and weigh as often as they occur; other columns are not read. No rows: no rows.
     """
     url = F.col(url_col)
-    parts = pages.select(F.col(id_col).alias("_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    parts = parts.select("*", F.concat("host", "path").alias("text"), ruling(F.col("host"), F.col("path"), rules).alias("_rule"))
+    parts = pages.select(F.col(id_col).alias("_id"), host_of(url).alias("host"), path_of(url).alias("path"), *([whole_of(url).alias("text")] if whole else []))
+    parts = parts.select("_id", "host", "path", F.col("text") if whole else F.concat("host", "path").alias("text"), ruling(F.col("host"), F.col("path"), rules).alias("_rule"))
     texts = staged(parts.groupBy("text", F.col("_rule.verdict").alias("verdict")).agg(F.count("*").alias("n")), "urls")  # the text settles the rule
     every = texts.select("text", "verdict", "n", F.explode(grams(F.col("text"), order)).alias("g")).select("text", "verdict", "n", "g.*")
     sums = {m: F.sum(F.when(F.col("verdict") == m, F.col("n")).otherwise(0)).alias(f"n_{m}") for m in ("allow", "block")}
