@@ -231,6 +231,14 @@ def test_blocks_of_text_beat_short_links():
     assert html_text.main_text(html) == "First part of a long article. Second part."
 
 
+def test_boilerplate_inside_of_an_article_does_not_cut_it():
+    assert html_text.article(["a" * 100, "b" * 80, "", "", "", "c" * 90, "d" * 70], [100, 80, 0, 0, 0, 90, 70]) == ["a" * 100, "b" * 80, "c" * 90, "d" * 70]
+    advert = "<div class=ad><p>buy</p><p>now</p><p>here</p><p>or there</p></div>"
+    links = "".join(f"<div><a href=x>link {i}</a></div>" for i in range(4))
+    html = f"<div><p>First part.</p><p>Second part.</p>{advert}<p>Third part.</p></div>{links}<div>Odd.</div>"
+    assert html_text.main_text(html) == "First part. Second part. Third part."
+
+
 def test_op9_on_the_given_pages(spark):
     """Every given page keeps its text in one article element of paragraphs."""
     import html

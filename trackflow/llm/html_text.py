@@ -181,7 +181,8 @@ def article(texts: list[str], counts: list[int], window: int = WINDOW) -> list[s
     """The lines between a surge and a dive of the block sums that hold most text; of equal ones the first.
 
     A surge is the first line with text after a block without any, a dive the last one before such a block; blocks are
-    ``window`` lines long.
+    ``window`` lines long. Where only blank lines lie between a dive and the next surge, boilerplate stands inside of the
+    text, and both sides are one.
     """
     weight = np.array(counts, dtype=np.int64)
     if not weight.any():
@@ -192,8 +193,13 @@ def article(texts: list[str], counts: list[int], window: int = WINDOW) -> list[s
     surge = np.flatnonzero((weight > 0) & (behind == 0))
     dive = np.flatnonzero((weight > 0) & (ahead == weight))
     ends = dive[np.searchsorted(dive, surge)]
-    k = int(np.argmax([weight[a : b + 1].sum() for a, b in zip(surge, ends, strict=True)]))
-    return [t for t in texts[surge[k] : ends[k] + 1] if t]
+    spans: list[tuple[int, int]] = []
+    for a, b in zip(surge.tolist(), ends.tolist(), strict=True):
+        if spans and not any(texts[spans[-1][1] + 1 : a]):
+            a = spans.pop()[0]
+        spans.append((a, b))
+    first, last = spans[int(np.argmax([weight[a : b + 1].sum() for a, b in spans]))]
+    return [t for t in texts[first : last + 1] if t]
 
 
 def main_text(html: str | None) -> str:
