@@ -239,6 +239,12 @@ def test_boilerplate_inside_of_an_article_does_not_cut_it():
     assert html_text.main_text(html) == "First part. Second part. Third part."
 
 
+@pytest.mark.parametrize("start", ["<article class='post no-sidebar'>", "<main id='content-with-sidebar'>", "<div class='article social-policy'>", "<div class='has-sidebar'>", "<section class='page-legal-text'>"])
+def test_parts_of_names_do_not_blank_the_content(start):
+    side = "".join(f"<div class={name}>no</div>" for name in ("left-sidebar", "siteFooter", "post-comments", "ad300x250", "widget_area"))
+    assert html_text.main_text(f"{start}<p>The text.</p>{side}<p>More.</p>") == "The text. More."
+
+
 def test_op9_on_the_given_pages(spark):
     """Every given page keeps its text in one article element of paragraphs."""
     import html

@@ -48,6 +48,9 @@ NAMES = frozenset(
     "form forms search searchbox searchform print tools toolbar byline-social outbrain taboola".split()
 )
 
+#: Beside these, a part of a class or id says what an element has or lacks, not what it is.
+BESIDE = frozenset("no not non without with has".split())
+
 
 class Lines:
     """Lines of a page: the text of each block, blank where it is boilerplate, with the rank of the element for content around it."""
@@ -127,7 +130,7 @@ class Lines:
         own = CONTENT.get(tag, 1 if tag in ("div", "section", "td") and not CONTENT_NAMES.isdisjoint(names) else 0)
         never = tag in NEVER and not (tag == "header" and rank)  # the article's own header holds its title
         if not away and tag not in ("html", "body"):
-            away = never or hidden(attributes) or not HEADING.match(tag) and not NAMES.isdisjoint(names - {"header"} if rank else names)
+            away = never or hidden(attributes) or not HEADING.match(tag) and bool(boilerplate(tag, attributes) - ({"header"} if rank else set()))
         state = (away, max(rank, own))
         if state != self.state:
             self.end_line()
@@ -158,6 +161,20 @@ def words_of(value: str | None) -> set[str]:
     return out
 
 
+def boilerplate(tag: str, attributes: list[tuple[str, str | None]]) -> set[str]:
+    """Names of boilerplate among classes and ids: a whole one, or its first or last part; content elements only by whole ones."""
+    values = [name for key, value in attributes if key in ("class", "id") for name in (value or "").split()]
+    content = tag in CONTENT or any(v.lower() in CONTENT_NAMES for v in values)
+    out = set()
+    for value in values:
+        plain = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", value).lower()
+        parts = [x for x in re.split(r"[-_:\d]+", plain) if x]
+        out |= {plain, value.lower()}
+        if parts and not content and BESIDE.isdisjoint(parts):
+            out |= {parts[0], parts[-1]}
+    return out & NAMES
+
+
 def hidden(attributes: list[tuple[str, str | None]]) -> bool:
     for key, value in attributes:
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and (value or "").strip().lower() in ROLES:
