@@ -3,7 +3,8 @@
 Successive turn prefixes are rendered and consecutive outputs compared: what the longer one adds is the span of its last
 turn, and an output that does not begin with the one before belongs to a template that rewrites history. Long
 conversations are rendered in windows of recent turns; the spans found must add up to the rendering of the whole, else
-full prefixes are rendered, so windows save work and change no result.
+full prefixes are rendered. Beyond two windows of turns a rewrite is found only where it shows in a window or in the
+rendering of the whole: one that comes with some number of turns and is gone at the end is not.
 """
 
 from __future__ import annotations
@@ -59,7 +60,10 @@ def prefix_spans(turns: Turns, render: Render) -> tuple[str, list[tuple[int, int
 
 
 def turn_spans(turns: Turns, render: Render, window: int = WINDOW) -> tuple[str, list[tuple[int, int]], int | None]:
-    """As ``prefix_spans``, at a cost in proportion to the conversation where the template allows it."""
+    """As ``prefix_spans``, at a cost in proportion to the conversation where the template allows it.
+
+    Beyond ``2 * window`` turns, rewrites that neither a window nor the whole shows are not found.
+    """
     if len(turns) <= 2 * window:
         return prefix_spans(turns, render)
     parts = [render([], None)]
