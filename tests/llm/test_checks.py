@@ -27,7 +27,7 @@ def test_query_matches_its_check(spark, name):
 def test_every_operator_is_registered():
     names = entry.queries()
     assert set(CHECKS) <= set(QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))
 
 
 def test_url_filter_stays_in_the_jvm(spark):
