@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trackflow.llm import neighbours, prefix, repeats, simhash
+from trackflow.llm import minhash, near_texts, neighbours, repeats, simhash
 from trackflow.llm.graph import components
 from trackflow.llm.q_near import op1_simhash
 from trackflow.llm.q_repeats import op3_suffix_array_dedup
@@ -91,11 +91,11 @@ def test_near_duplicates_edge_rows(spark):
     near[150] = "changed"
     rows = [(1, None, 0), (2, "", 0), (3, " ".join(one), 0), (4, " ".join(near), 0), (5, " ".join(one), 0), (5, " ".join(one), 0), (6, " ".join(other), 0), (None, " ".join(one), 0), (7, " ".join(words(60_000)), 0), (8, "Two words", 0), (9, "two WORDS", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, fp int")
-    got = {r.doc_id: r.component for r in simhash.near_groups(df).collect()}
+    got = {r.doc_id: r.component for r in near_texts.near_groups(df).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3, 6: 6, 7: 7, 8: 8, 9: 8}
     marked = simhash.fingerprint_groups(df, 4, 4)
     assert marked.count() == len(rows) and {r.component for r in marked.where("doc_id IS NULL").collect()} == {3}
-    assert simhash.near_groups(df.limit(0)).count() == simhash.fingerprint_groups(df.limit(0), 4, 4).count() == 0
+    assert near_texts.near_groups(df.limit(0)).count() == simhash.fingerprint_groups(df.limit(0), 4, 4).count() == 0
 
 
 def brute_near(texts, words=5, similarity=0.8):
@@ -119,8 +119,8 @@ def family(rng, base, members, edits):
 @pytest.mark.parametrize(("few", "tile"), [(16, 2048), (1, 5)])
 def test_near_groups_of_templates_against_brute_force(spark, monkeypatch, few, tile):
     """Many pairs of a family just miss the likeness, so links that stand for others fail."""
-    monkeypatch.setattr(prefix, "FEW", few)
-    monkeypatch.setattr(prefix, "TILE", tile)
+    whole = minhash.open_links
+    monkeypatch.setattr(minhash, "open_links", lambda *a: whole(*a, few=few, tile_rows=tile))
     rng = random.Random(3)
     texts = ["", " ", "a", "A b"]
     for size in (60, 150, 250, 400):
@@ -128,18 +128,29 @@ def test_near_groups_of_templates_against_brute_force(spark, monkeypatch, few, t
             base = [f"w{rng.randint(0, 10**9)}" for _ in range(size)]
             texts += family(rng, base, 20, (size // 100, size // (90 - 15 * k) + 1))
     texts = dict(enumerate(texts))
-    got = simhash.near_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = near_texts.near_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
     want = brute_near(texts)
     assert {r.doc_id: r.component for r in got} == want and {r.doc_id for r in got if r.kept} == set(want.values())
     assert 3 + 2 * 12 < len(set(want.values())) < len(texts) / 2  # some stay apart, some do not
 
 
+def test_a_key_of_many_texts_apart(spark):
+    """Hundreds of different texts share their keys but not their words: they meet in tiles and stay apart, their near copies join."""
+    rng = random.Random(2)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
+    apart = family(rng, base, 120, (13, 16))
+    near = [" ".join([*t.split(" ")[:-1], "end"]) for t in apart[::4]]
+    texts = dict(enumerate(apart + near))
+    got = {r.doc_id: r.component for r in near_texts.near_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == brute_near(texts) and 60 < len(set(got.values())) <= 120
+
+
 def test_different_texts_of_one_id_are_nodes_of_their_own(spark):
     rng = random.Random(4)
     one, other, third = ([f"w{rng.randint(0, 10**6)}" for _ in range(200)] for _ in range(3))
     near = lambda words: " ".join([*words[:199], "end"])
     rows = [(5, " ".join(one)), (5, " ".join(other)), (6, near(one)), (7, near(other)), (8, " ".join(third)), (8, near(third)), (8, near(third))]
-    got = simhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = near_texts.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.component) for r in got) == [(5, 5), (5, 5), (6, 5), (7, 5), (8, 8), (8, 8), (8, 8)]
     stay = {(r.doc_id, r.text_hash) for r in got if r.kept}
     assert sorted(d for d, _ in stay) == [5, 5, 8]

@@ -122,6 +122,14 @@ def tile_forest(label: np.ndarray, far: np.ndarray | None, slots: np.ndarray, se
     return links
 
 
+def from_centres(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows for ``confirmed`` from links (a, b) of any number for one a, which is repeated for every ``SPLIT`` of them."""
+    splits = staged(pairs.groupBy("a").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("splits")), "splits")
+    members = pairs.join(splits, "a").select(F.col("a").alias("centre"), F.pmod(F.xxhash64("b"), F.col("splits")).cast("int").alias("salt"), F.col("b").alias("node"))
+    own = splits.select(F.col("a").alias("centre"), F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt"), F.col("a").alias("node"))
+    return members.unionByName(own).join(sets.select("node", "elements"), "node")
+
+
 def open_links(shared: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float, few: int = FEW, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Links (a, b) that join the components in ``labels`` as all alike sets that share a key do.
 
@@ -146,8 +154,7 @@ def open_links(shared: DataFrame, labels: DataFrame, sets: DataFrame, similarity
         return [[a[k] for k in near], [b[k] for k in near]]
 
     pairs = staged(map_rows(both.select("a", "b", "one", "other"), within, "a long, b long"), "pairs")
-    members = pairs.select(F.col("a").alias("centre"), F.col("b").alias("node")).unionByName(pairs.select(F.col("a").alias("centre"), F.col("a").alias("node")).distinct())
-    single = confirmed(members.join(sets.select("node", "elements"), "node").withColumn("salt", F.lit(0)), similarity)
+    single = confirmed(from_centres(pairs, sets), similarity)
 
     large = live.where(F.col("members") > few)
     sizes = large.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / tile_rows), F.ceil(F.sum(4 * F.col("n")) / TILE_BYTES)).cast("int").alias("tiles"))

@@ -15,7 +15,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackflow.llm import prefix
 from trackflow.llm.graph import components
 from trackflow.llm.work import map_rows, ready, staged
 
@@ -189,38 +188,3 @@ def fingerprint_groups(docs: DataFrame, shingle_words: int, radius: int, id_col:
     found = components(near_links(nodes, radius).select("a", "b"))
     owned = staged(nodes.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component")), "owned")
     return marked.join(owned, "fp", "left").select("doc_id", "fp", "component")
-
-
-def near_groups(docs: DataFrame, shingle_words: int = 5, radius: int = 12, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``text_hash``, ``component`` and ``kept`` of texts whose word shingles are alike by Jaccard in ``similarity`` or more.
-
-    ``kept`` is true for the rows whose id is the smallest of their component; of different texts under that id, for the one
-    of the smallest hash.
-
-    Links of the spanning forests within the radius are verified on the sets of shingles (32-bit hashes), after a test of their
-    sizes; they join most of a group. The forests follow bits, not likeness, so what they leave apart meets by the prefixes of
-    the sets: the components are those of all pairs. Equal texts are one node. Rows with a null id are left out; null texts are
-    empty and equal to each other.
-    """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.struct(F.sha2(text.cast("binary"), 256).alias("hash"), F.col(id_col).alias("doc_id")).alias("key"), text.alias("text"))
-    marked = staged(fingerprints(keyed, shingle_words, "key", "text").select("key.*", "fp", "n_shingles"), "fingerprints")
-    nodes = staged(marked.groupBy("hash", "fp", F.col("n_shingles").alias("size")).agg(F.min("doc_id").alias("first")).withColumn("id", F.monotonically_increasing_id()), "nodes")
-
-    def fn(keys: list, texts: list) -> list:
-        return [keys, [np.unique(shingle_hashes(t, shingle_words).astype(np.uint32)).tobytes() for t in texts]]
-
-    # a node is the first of its text, found by id and text, so copies do not meet
-    texts = keyed.select("doc_id", "key.hash", "text").join(nodes.select(F.col("first").alias("doc_id"), "hash", "id"), ["doc_id", "hash"]).select("id", "text")
-    sets = staged(map_rows(texts, fn, "id long, elements binary").dropDuplicates(["id"]), "shingles")
-
-    close = near_links(nodes.select("id", "fp", "size"), radius)
-    close = staged(close.where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")), "links")
-    linked = staged(prefix.verified(close, sets, similarity), "verified")
-    rest = staged(prefix.prefix_links(sets, components(linked), similarity), "prefixes")
-    found = components(linked.unionByName(rest))
-    rooted = staged(nodes.join(found, "id", "left").select("hash", "first", F.coalesce("component", "id").alias("root")), "rooted")
-    least = rooted.groupBy("root").agg(F.min(F.struct("first", "hash")).alias("least"))
-    owned = staged(rooted.join(least, "root").select("hash", F.col("least.first").alias("component"), (F.col("hash") == F.col("least.hash")).alias("own")), "owned")
-    of_text = marked.select("doc_id", "hash").join(owned, "hash")
-    return of_text.select("doc_id", F.col("hash").alias("text_hash"), "component", (F.col("own") & (F.col("doc_id") == F.col("component"))).alias("kept"))
