@@ -13,7 +13,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackflow.llm import bpe, packing, quality, repeats, simhash
+from trackflow.llm import bpe, near_texts, packing, quality, repeats
 from trackflow.llm.work import map_rows, staged, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -41,12 +41,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Rows that repeat an id and its text count as one row. Rows without an id stay.
     """
-    text_hash = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    groups = simhash.near_groups(docs)
-    stay = staged(groups.where("kept").select("doc_id", "text_hash").distinct(), "stay")
-    own = docs.withColumn("_hash", text_hash)
-    kept = own.join(stay.withColumnRenamed("text_hash", "_hash"), ["doc_id", "_hash"], "left_semi").dropDuplicates(["doc_id", "_hash"])
-    return kept.unionByName(own.where("doc_id IS NULL")).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("hash"))
+    stay = near_texts.near_groups(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
+    kept = rows.join(staged(stay, "stay"), ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+    return kept.unionByName(rows.where("id IS NULL")).select("row.*")
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
