@@ -13,7 +13,7 @@ from trackflow.operators.episodes import conform
 from trackflow.operators.silver import dedupe
 from trackflow.session import shared_folder
 from trackflow.sources.landing import append_stream
-from trackflow.streaming import detect, etl
+from trackflow.streaming import detect, etl, stateful
 
 LINEAGE = ("source_file", "ingested_at", "ingest_date")
 
@@ -101,3 +101,18 @@ def stream_detect(spark, sf_dir):
             stream, lambda: spark.read.schema(schema).parquet(table), log, checkpoint, RULES
         ).awaitTermination()
     return rounded(conform(detect.fold_log(detect.read_log(spark, log))))
+
+
+@query("stream_detect_stateful", f"{ALL_EPISODES} SELECT * FROM out")
+def stream_detect_stateful(spark, sf_dir):
+    """Reports arrive up to two minutes late and out of order, in three deliveries; a last report far ahead ends the wait."""
+    source, log, checkpoint = (shared_folder(spark, n) for n in ("reports", "piece-log", "checkpoint"))
+    reports = positions(spark, sf_dir)
+    schema = ", ".join(f"{n} {t}" for n, t in reports.dtypes)
+    arrival = F.unix_micros("event_ts") / 1_000_000 - P.EPOCH + F.pmod(F.xxhash64("icao24", "event_ts"), F.lit(120))
+    part = F.least(F.floor(arrival / 600), F.lit(2))
+    clock = reports.limit(1).select(*[F.timestamp_seconds(F.lit(P.EPOCH + 86400)).alias(n) if n == "event_ts" else F.lit("clock").alias(n) if n == "icao24" else F.lit(None).cast(t).alias(n) for n, t in reports.dtypes])
+    for delivery in (*(reports.where(part == k) for k in range(3)), clock):
+        delivery.write.mode("append").parquet(source)
+        stateful.detect_stateful(etl.table_stream(spark, source, schema), log, checkpoint, RULES, delay="3 minutes").awaitTermination()
+    return rounded(conform(stateful.logged_episodes(spark, log, RULES)))

@@ -123,15 +123,20 @@ def _part(kind: str, piece, us_end, trigger, low, high, turn, rows, place, from_
     )
 
 
+def neighbour_facts(rules: TrackRules, keys: Sequence[str], kinds: Sequence[str]) -> list[Column]:
+    """The windows that the kinds need beside the track features."""
+    holding, aborting = "holding" in kinds, "go_around" in kinds
+    return [*(visit_windows(rules, keys) if holding else ()), *(approach_windows(rules, keys) if aborting else ())]
+
+
 def _contributions(df: DataFrame, rules: TrackRules, by: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    keys = [*by, rules.columns.key]
+    return contributions_of(track_frames(df, rules, by, also=neighbour_facts(rules, keys, kinds)), rules, keys, kinds)
+
+
+def contributions_of(frames: DataFrame, rules: TrackRules, keys: Sequence[str], kinds: Sequence[str]) -> DataFrame:
     c = rules.columns
-    keys = [*by, c.key]
     holding, aborting = "holding" in kinds, "go_around" in kinds
-    also = [
-        *(visit_windows(rules, keys) if holding else ()),
-        *(approach_windows(rules, keys) if aborting else ()),
-    ]
-    frames = track_frames(df, rules, by, also=also)
     us, alt, no = F.col("us"), F.col(c.alt), F.lit(False)
     parts = []
     if holding:
@@ -160,17 +165,25 @@ def _folds(tallies: Sequence[str]) -> list[Column]:
     return [*lowest, *highest, F.sum("rows").alias("rows"), *[F.sum(n).alias(n) for n in tallies]]
 
 
-def _joined_pieces(parts: DataFrame, rules: TrackRules, keys: Sequence[str]) -> DataFrame:
-    """Fold reports into pieces, then join the pieces of visits that cross chunk borders.
+def _tallies(rules: TrackRules) -> list[str]:
+    return [f"at_{i}" for i in range(len(rules.stacks))]
 
-    The first fold needs no shuffle (rows already sit by key and chunk). Only pieces touching a
-    border meet in one partition per key, at most two per chunk; all others stay spread out.
-    """
-    tallies = [f"at_{i}" for i in range(len(rules.stacks))]
+
+def pieces_of(parts: DataFrame, rules: TrackRules, keys: Sequence[str]) -> DataFrame:
+    """Fold the reports of a chunk into pieces of episodes; needs no shuffle, rows already sit by key and chunk."""
+    tallies = _tallies(rules)
     counted = parts.select("*", *[F.when(F.col("place") == i, 1).otherwise(0).alias(n) for i, n in enumerate(tallies)])
-    pieces = counted.groupBy(*keys, "chunk", "kind", "piece").agg(
+    return counted.groupBy(*keys, "chunk", "kind", "piece").agg(
         *_folds(tallies), F.max("from_before").alias("from_before"), F.max("into_next").alias("into_next")
     )
+
+
+def _joined_pieces(pieces: DataFrame, rules: TrackRules, keys: Sequence[str]) -> DataFrame:
+    """Join the pieces of visits that cross chunk borders.
+
+    Only pieces touching a border meet in one partition per key, at most two per chunk; all others stay spread out.
+    """
+    tallies = _tallies(rules)
     border = F.col("from_before") | F.col("into_next")
     group = [*keys, "kind", "slot"]
     in_order = Window.partitionBy(*group).orderBy("us_start").rowsBetween(Window.unboundedPreceding, 0)
@@ -186,7 +199,7 @@ def _joined_pieces(parts: DataFrame, rules: TrackRules, keys: Sequence[str]) ->
 def visits(df: DataFrame, rules: TrackRules = TrackRules(), by: Sequence[str] = ()) -> DataFrame:
     """All stack visits, whether or not they circled."""
     keys = [*by, rules.columns.key]
-    return _joined_pieces(_contributions(df, rules, by, ["holding"]), rules, keys).select(
+    return _joined_pieces(pieces_of(_contributions(df, rules, by, ["holding"]), rules, keys), rules, keys).select(
         *keys,
         F.timestamp_micros("us_start").alias("started_at"),
         F.timestamp_micros("us_end").alias("ended_at"),
@@ -227,15 +240,21 @@ def episodes(
 
     One pass over the tracks serves both kinds.
     """
+    pieces = pieces_of(_contributions(df, rules, by, kinds), rules, [*by, rules.columns.key])
+    return episodes_of_pieces(pieces, key_summary(df, rules, by), rules, by)
+
+
+def episodes_of_pieces(pieces: DataFrame, summary: DataFrame, rules: TrackRules = TrackRules(), by: Sequence[str] = ()) -> DataFrame:
+    """Episodes from the pieces of all chunks and one row per key with its ``reports`` and ``last_name``."""
     c = rules.columns
     keys = [*by, c.key]
-    folded = _joined_pieces(_contributions(df, rules, by, kinds), rules, keys)
+    folded = _joined_pieces(pieces, rules, keys)
     holding = F.col("kind") == EPISODE_KINDS.index("holding")
     kind = F.get(F.array(*[F.lit(k) for k in EPISODE_KINDS]), F.col("kind"))
     started = F.timestamp_micros("us_start")
     return (
         folded.where(~holding | F.col("us_trigger").isNotNull())
-        .join(key_summary(df, rules, by).where(F.col("reports") >= rules.min_reports), keys)
+        .join(summary.where(F.col("reports") >= rules.min_reports), keys)
         .select(
             *by,
             episode_id(F.col(c.key), kind, started).alias("event_id"),

@@ -85,41 +85,29 @@ def rolling_sum(value: Column, keys: Sequence[str], span_us: int) -> Column:
     return running - F.coalesce(before, F.lit(0))
 
 
-def track_frames(
-    df: DataFrame,
-    rules: TrackRules = TrackRules(),
-    by: Sequence[str] = (),
-    exact_gaps: bool = False,
-    also: Sequence[Column] = (),
-    complete: bool = True,
-) -> DataFrame:
-    """Features of every report in every chunk it was copied to; ``home`` marks the owner.
-
-    ``also`` are further window columns over the same (key, chunk) order; they are computed in the
-    same pass as the rolling turn. ``complete`` leaves out reports without position or altitude.
-    """
+def placed_reports(reports: DataFrame, rules: TrackRules, keys: Sequence[str]) -> DataFrame:
+    """Unique reports with the nearest stack and runway; a missing ground flag counts as airborne."""
     c = rules.columns
-    keys = [*by, c.key]
-    lat, lon, alt, us = F.col(c.lat), F.col(c.lon), F.col(c.alt), F.col("us")
-    usable = usable_reports(df, rules) if complete else df.where(F.col(c.ts).isNotNull())
-    reports = unique_reports(usable, rules, by).select(
-        *keys, "us", c.name, lat, lon, alt, c.vr, c.track, F.coalesce(F.col(c.ground), F.lit(False)).alias(c.ground),
+    named = reports.select(
+        *keys, "us", c.name, c.lat, c.lon, c.alt, c.vr, c.track, F.coalesce(F.col(c.ground), F.lit(False)).alias(c.ground),
         nearest(c.lat, c.lon, rules.stacks).alias("stack"), nearest(c.lat, c.lon, rules.runways).alias("runway"),
     )
-    placed = reports.select(
-        *[n for n in reports.columns if n not in ("stack", "runway")],
+    return named.select(
+        *[n for n in named.columns if n not in ("stack", "runway")],
         F.col("stack.dist").alias("dist_stack_nm"), F.col("stack.rank").alias("stack_rank"),
         F.col("runway.dist").alias("dist_rwy_nm"), F.col("runway.rank").alias("rwy_rank"),
     )
-    frames = in_chunks(placed, rules)
-    if exact_gaps:
-        frames = with_carried_report(placed, frames, rules, keys)
-    w = chunk_window(keys)
+
+
+def chunk_frames(chunked: DataFrame, rules: TrackRules, keys: Sequence[str], also: Sequence[Column] = ()) -> DataFrame:
+    """Features of placed reports that already sit in their chunks; ``also`` are further windows over the same order."""
+    c = rules.columns
+    alt, us, w = F.col(c.alt), F.col("us"), chunk_window(keys)
     gap = (us - F.col("prev_us")) / F.lit(float(SECOND))
     turn = heading_change(F.col(c.track), F.col("prev_track"))
-    kept = [n for n in frames.columns if n != c.vr]
+    kept = [n for n in chunked.columns if n != c.vr]
     return (
-        frames.select(
+        chunked.select(
             "*", F.lag("us").over(w).alias("prev_us"), F.lag(c.track).over(w).alias("prev_track"),
             F.lag(c.alt).over(w).alias("prev_alt"),
         )
@@ -136,6 +124,29 @@ def track_frames(
     )
 
 
+def track_frames(
+    df: DataFrame,
+    rules: TrackRules = TrackRules(),
+    by: Sequence[str] = (),
+    exact_gaps: bool = False,
+    also: Sequence[Column] = (),
+    complete: bool = True,
+) -> DataFrame:
+    """Features of every report in every chunk it was copied to; ``home`` marks the owner.
+
+    ``also`` are further window columns over the same (key, chunk) order; they are computed in the
+    same pass as the rolling turn. ``complete`` leaves out reports without position or altitude.
+    """
+    c = rules.columns
+    keys = [*by, c.key]
+    usable = usable_reports(df, rules) if complete else df.where(F.col(c.ts).isNotNull())
+    placed = placed_reports(unique_reports(usable, rules, by), rules, keys)
+    frames = in_chunks(placed, rules)
+    if exact_gaps:
+        frames = with_carried_report(placed, frames, rules, keys)
+    return chunk_frames(frames, rules, keys, also)
+
+
 def degrees(micro: Column) -> Column:
     return micro / F.lit(float(MICRODEGREE))
 
