@@ -11,6 +11,8 @@ from trackflow.catalog.detection import RULES
 from trackflow.catalog.registered import QUERIES
 from trackflow.operators import episodes as E
 from trackflow.operators.cdc import current_rows
+from trackflow.operators.joins import asof_join
+from trackflow.operators.occupancy import occupancy
 from trackflow.operators.silver import dedupe, enrich, fresh, to_positions
 from trackflow.plans.analytics import after
 
@@ -61,3 +63,12 @@ def test_reference_is_broadcast_only_by_size(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
+def test_time_scans_use_no_single_partition(spark):
+    """The as-of join without keys carries rows over in levels; occupancy neither makes the minutes of an episode nor one long window."""
+    events, weather = P.load(spark, SF, P.POSITIONS).select("icao24", "event_ts"), P.load(spark, SF, P.POSITIONS).select(F.col("event_ts").alias("seen_at"), "alt_ft").distinct()
+    text = plan(asof_join(events, weather.dropDuplicates(["seen_at"]), "event_ts", "seen_at", ["alt_ft"]))
+    assert "SinglePartition" not in text
+    text = plan(occupancy(E.conform(E.episodes(P.load(spark, SF, P.POSITIONS), RULES)), 1_700_000_000, 1_700_400_000))
+    assert "SinglePartition" not in text and "sequence(lo" not in text

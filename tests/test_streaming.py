@@ -127,6 +127,26 @@ def test_backlog_and_future_report_lose_nothing(spark, tmp_path):
     assert found.count() == 2 and rows_of(conform(found)) == rows_of(conform(episodes(df, rules)))
 
 
+def test_one_old_report_reads_its_own_days_only(spark, tmp_path):
+    """Days between an old report and today hold a file that cannot be read."""
+    table, log, checkpoint = (str(tmp_path / n) for n in ("positions", "log", "c"))
+    old = circling("BNN", key="aaaaaa", start=T0 - timedelta(days=365))
+    df = positions(spark, old + circling("LAM", key="bbbbbb") + circling("BNN", key="aaaaaa"))
+    schema = ", ".join(f"{n} {t}" for n, t in df.dtypes)
+    df.write.partitionBy("event_date").parquet(table)
+    for day in (T0 - timedelta(days=180), T0 - timedelta(days=2)):
+        broken = tmp_path / "positions" / f"event_date={day:%Y-%m-%d}"
+        broken.mkdir()
+        (broken / "part-0.parquet").write_text("not parquet")
+    arriving = str(tmp_path / "arriving")
+    df.write.parquet(arriving)
+    detect.detect_stream(etl.table_stream(spark, arriving, schema), lambda: spark.read.schema(schema).parquet(table), log, checkpoint, TrackRules()).awaitTermination()
+    found = detect.fold_log(detect.read_log(spark, log))
+    assert found.count() == 3 and rows_of(conform(found)) == rows_of(conform(episodes(df, TrackRules())))
+    spans = sorted(map(tuple, detect.affected_spans(df).select("icao24", ((F.col("to_us") - F.col("from_us")) / 3.6e9).cast("int")).collect()))
+    assert [k for k, _ in spans] == ["aaaaaa", "aaaaaa", "bbbbbb"] and all(h == 6 for _, h in spans)
+
+
 def test_guard_leaves_cut_off_starts_to_earlier_batches(spark, tmp_path):
     table, log, checkpoint = (str(tmp_path / n) for n in ("positions", "log", "c"))
     df = positions(spark, circling("BNN", laps=20))

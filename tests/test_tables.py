@@ -142,7 +142,7 @@ def test_time_joins_against_brute_force(spark, seed):
     for on in (["k"], []):
         source = rdf if on else spark.createDataFrame([(t, n) for n, t in enumerate(sorted({t for _, t in right}))], "t timestamp, n int")
         rows = [(r.k if on else None, r.t, r.n) for r in source.collect()]
-        got = joins.asof_join(ldf, source, "a", "t", ["n"], on=on).collect()
+        got = joins.asof_join(ldf, source, "a", "t", ["n"], on=on, bucket_s=(3600, 60, 1)[seed]).collect()
         want = {
             i: max(((t, n) for rk, t, n in rows if (not on or rk == k) and t <= a), default=(None, None)) for i, k, a, _ in left
         }
@@ -165,6 +165,20 @@ def test_occupancy_counts_and_bounds(spark):
     assert got[(at(5), "BIG")] == 3 and got[(at(5), "LAM")] == 0
 
 
+def test_occupancy_of_overlapping_spans_over_days(spark):
+    rnd = random.Random(9)
+    rows = []
+    for _ in range(400):
+        start = at(rnd.randrange(-300, 3200)) + timedelta(seconds=rnd.randrange(60))
+        rows.append(("holding", rnd.choice(["a", "b", "c", None]), rnd.choice(["BIG", "LAM", None]), start, start + timedelta(minutes=rnd.choice([0, 1, 7, 90, 3000]))))
+    df = spark.createDataFrame(rows, "event_type string, icao24 string, location string, started_at timestamp, ended_at timestamp")
+    seconds = [int((at(m) - datetime(1970, 1, 1)).total_seconds()) for m in (0, 2999)]
+    got = {(r.minute, r.stack): r.holding_count for r in occupancy.occupancy(df, *seconds).collect()}
+    assert len(got) == 3000 * len(STACKS)
+    for (m, place), n in got.items():
+        assert n == len({k for _, k, p, a, b in rows if k and p == place and a <= m + timedelta(minutes=1) and b >= m})
+
+
 @pytest.mark.parametrize("chunk_s", [200, 3600, 10**6])
 def test_sessions_do_not_depend_on_chunks(spark, chunk_s):
     rnd = random.Random(8)

@@ -1,8 +1,8 @@
 """Episode detection on a stream of positions.
 
-Each micro-batch looks at the keys it brought, from the look-back before each key's oldest new report on, with the same
-operators as a batch run, so a backlog or a report from the future loses nothing. Episodes near the left edge of a key's
-window may have begun before it and are left to earlier batches, unless the key has no report just before the window. What is new or extended is appended to an episode log; the current episode table
+Each micro-batch looks at the keys it brought, one look-back to either side of their new reports, with the same
+operators as a batch run, so a backlog or a report from the future loses nothing, and one old report reads the days around it
+and no others. Episodes near the left edge of a span may have begun before it and are left to earlier batches, unless the key has no report just before the window. What is new or extended is appended to an episode log; the current episode table
 is a fold of that log. A repeated batch replaces its own log entries, so it changes nothing.
 """
 
@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trackflow import schemas
 from trackflow.config import TrackRules
+from trackflow.functions.times import SECOND, bucket, micros
 from trackflow.operators.episodes import conform, episodes
 from trackflow.operators.upsert import merge_days
 
@@ -66,6 +67,26 @@ def write_entries(found: DataFrame, batch_id: int, path: str, now: Column) -> No
     merge_days(found.sparkSession, path, entries, others, "started_at", schema=LOG_SCHEMA)
 
 
+def affected_spans(batch: DataFrame, rules: TrackRules = TrackRules()) -> DataFrame:
+    """Key, ``from_us`` and ``to_us``: the spans of each key's track that its new reports can change, one look-back to either side.
+
+    Spans that overlap are one. A key has as many rows as its new reports touch look-backs.
+    """
+    c, look = rules.columns, rules.lookback_s * SECOND
+    us = micros(F.col(c.ts))
+    cells = batch.where(us.isNotNull()).groupBy(c.key, bucket(us, look).alias("cell")).agg((F.min(us) - look).alias("lo"), (F.max(us) + look).alias("hi"))
+    in_order = Window.partitionBy(c.key).orderBy("cell")
+    apart = F.col("lo") > F.max("hi").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = cells.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("span", F.sum("apart").over(in_order))
+    return numbered.groupBy(c.key, "span").agg(F.min("lo").alias("from_us"), F.max("hi").alias("to_us")).drop("span")
+
+
+def spans_days(spans: DataFrame, rules: TrackRules = TrackRules()) -> list:
+    """The days that any span touches, a calendar's worth at most: only their partitions are read."""
+    first, last = (F.to_date(F.timestamp_micros(x)) for x in (F.col("from_us") - rules.visit_gap_s * SECOND, F.col("to_us")))
+    return sorted(r[0] for r in spans.select(F.explode(F.sequence(first, last))).distinct().collect())
+
+
 def detect_stream(
     positions: DataFrame,
     history: Callable[[], DataFrame],
@@ -80,21 +101,22 @@ def detect_stream(
     spark = positions.sparkSession
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        look, gap = (F.make_dt_interval(secs=F.lit(float(s))) for s in (rules.lookback_s, rules.visit_gap_s))
-        begun = batch.groupBy(c.key).agg((F.min(c.ts) - look).alias("window_start"))
-        floor = begun.agg(F.min("window_start")).first()[0]  # a single value
-        if floor is None:
-            return
-        day = F.to_date(F.lit(floor) - gap)
-        read = history().where(F.col("event_date") >= day).join(begun, c.key).where(F.col(c.ts) > F.col("window_start") - gap)
-        cut = read.where(F.col(c.ts) <= F.col("window_start")).select(F.col(c.key).cast("string").alias("icao24")).distinct()
-        edges = begun.select(F.col(c.key).cast("string").alias("icao24"), "window_start").join(cut, "icao24")
-        every = conform(episodes(read.where(F.col(c.ts) > F.col("window_start")).drop("window_start"), rules))
-        margin = F.make_dt_interval(secs=F.lit(float(rules.edge_margin_s)))
-        found = every.join(edges, "icao24", "left").where(F.col("window_start").isNull() | (F.col("started_at") >= F.col("window_start") + margin))
-        found = found.select(*every.columns)
-        earlier = read_log(spark, log_path).where((F.col("event_date") >= day) & (F.col("batch_id") < batch_id))
-        write_entries(later_or_new(found, fold_log(earlier)), batch_id, log_path, now())
+        spans = affected_spans(batch, rules).persist()
+        try:
+            days = spans_days(spans, rules)
+            if not days:
+                return
+            margin, window_start = F.make_dt_interval(secs=F.lit(float(rules.edge_margin_s))), F.timestamp_micros("from_us")
+            us = micros(F.col(c.ts))
+            read = history().where(F.col("event_date").isin(days)).join(spans, c.key).where((us > F.col("from_us") - rules.visit_gap_s * SECOND) & (us <= F.col("to_us"))).drop("to_us")
+            edge = ["icao24", "from_us"]
+            cut = read.where(us <= F.col("from_us")).select(F.col(c.key).cast("string").alias("icao24"), "from_us").distinct().withColumn("is_cut", F.lit(True))
+            every = episodes(read.where(us > F.col("from_us")), rules, by=["from_us"])
+            whole = every.join(cut, edge, "left").where(F.col("is_cut").isNull() | (F.col("started_at") >= window_start + margin))
+            earlier = read_log(spark, log_path).where(F.col("event_date").isin(days) & (F.col("batch_id") < batch_id))
+            write_entries(later_or_new(conform(whole), fold_log(earlier)), batch_id, log_path, now())
+        finally:
+            spans.unpersist()
 
     spark.createDataFrame([], LOG_SCHEMA).write.mode("append").parquet(log_path)
     trigger = {"processingTime": every} if every else {"availableNow": True}
