@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.tracks import POINTS, SCHEMA, T0, approach, circling, on_line, reports
 from trackflow.config import TrackRules
 from trackflow.functions.geo import great_circle_nm
+from trackflow.operators import episodes as E
 from trackflow.operators.episodes import conform, episodes, episodes_in_window, redetected_ids, visits
 from trackflow.operators.tracks import track_features, track_frames
 
@@ -212,3 +213,18 @@ def test_distance_is_null_without_a_position(spark):
     assert round(far.nm, 3) == 60.040 and none.nm is None
     (opposite,) = spark.range(1).select(great_circle_nm("0D", "0D", "0D", "180D").alias("nm")).collect()
     assert round(opposite.nm, 1) == 10807.3
+
+
+@pytest.mark.parametrize(("look", "margin", "step"), [(1800, 900, 20), (1200, 300, 25), (1500, 200, 60), (900, 60, 60)])
+def test_shared_windows_equal_copied_windows(spark, look, margin, step):
+    """Ninety windows, cutting visits and approaches on either side, with guards longer and shorter than the look-back."""
+    rules = replace(TrackRules(), chunk_s=700, lookback_s=look, edge_margin_s=margin)
+    tail = [(240, -700, False), (60, 1800, False), (120, 1500, False)]
+    rows = circling(laps=4, key="one") + circling(laps=12, key="two", start=T0 + timedelta(seconds=50), step=20) + circling(laps=2, side=-1, key="one", start=T0 + timedelta(minutes=31))
+    rows += approach("27L", tail, key="away") + approach("09R", tail, key="two", start=T0 + timedelta(minutes=62)) + approach("27R", tail, key="gap")[::3]
+    df = spark.createDataFrame(rows, SCHEMA)
+    first, last = (F.lit(T0 + timedelta(seconds=s)) for s in (500, 500 + 89 * step))
+    got = E.redetected_ids(df, first, last, step, rules)
+    want = E.redetected_in_copies(df, first, last, step, rules)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() >= 2
+    assert E.windows_share(rules) == (margin >= 180)

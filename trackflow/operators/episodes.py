@@ -14,7 +14,8 @@ from trackflow import schemas
 from trackflow.config import EPISODE_KINDS, TrackRules
 from trackflow.functions.geo import point_id
 from trackflow.functions.text import episode_id
-from trackflow.functions.times import SECOND
+from trackflow.functions.times import SECOND, micros
+from trackflow.operators.joins import interval_join
 from trackflow.operators.tracks import (
     MICRODEGREE,
     chunk_window,
@@ -26,6 +27,7 @@ from trackflow.operators.tracks import (
     track_frames,
     usable_reports,
 )
+from trackflow.operators.windows import run_starts
 
 SPREAD = -1  # stitch slot of pieces that touch a chunk border; whole pieces use their own chunk
 
@@ -290,14 +292,10 @@ def episodes_in_window(df: DataFrame, window_start: Column, rules: TrackRules =
     return settled(episodes(since(df, window_start, rules), rules), window_start, rules)
 
 
-def redetected_ids(
+def redetected_in_copies(
     df: DataFrame, first: Column, last: Column, step_s: int, rules: TrackRules = TrackRules()
 ) -> DataFrame:
-    """Distinct episodes over a series of look-back windows ending at first, first + step, ... last.
-
-    Every report is copied to the windows it falls in and the window becomes part of the key, so
-    all windows are evaluated in one job.
-    """
+    """As ``redetected_ids``, by copying every report to the windows it falls in; for rules under which windows share nothing."""
     ts = micros_of(rules)
     step, look = step_s * SECOND, rules.lookback_s * SECOND
     first_us, last_us = F.unix_micros(first), F.unix_micros(last)
@@ -318,6 +316,66 @@ def redetected_ids(
     )
 
 
+def windows_share(rules: TrackRules) -> bool:
+    """Whether an episode found once tells what every window sees of it.
+
+    The guard must be no shorter than what a visit or an arrival looks back on, and the rules must imply the least number of reports.
+    """
+    guarded = rules.edge_margin_s >= max(rules.visit_gap_s, rules.arrival_window_s)
+    return guarded and rules.min_reports <= 3 and rules.hold_turn_deg > 180 * (rules.min_reports - 2)
+
+
+def redetected_ids(
+    df: DataFrame, first: Column, last: Column, step_s: int, rules: TrackRules = TrackRules()
+) -> DataFrame:
+    """Distinct episodes over a series of look-back windows ending at first, first + step, ... last.
+
+    Episodes are found once over all reports. A window that begins further before an episode than any rule looks back sees the same
+    start and turns, so which of these windows count it, and how far the last of them sees it, follows from its start, trigger and end
+    alone. Only windows that begin just before a visit or a low run are evaluated again, on the reports from their
+    left edge to the end of that visit or run; with a guard as long as the look-back there are none.
+    """
+    if not windows_share(rules):
+        return redetected_in_copies(df, first, last, step_s, rules)
+    c = rules.columns
+    step, look, margin, back = step_s * SECOND, rules.lookback_s * SECOND, rules.edge_margin_s * SECOND, rules.back_s * SECOND
+    first_us, last_us = F.unix_micros(first), F.unix_micros(last)
+    newest = F.floor((last_us - first_us) / step)
+    end_of = lambda n: first_us + n * step
+    inside = usable_reports(df, rules).where((micros_of(rules) > first_us - look) & (micros_of(rules) <= end_of(newest)))
+
+    start, end, trigger = (F.unix_micros(n) for n in ("started_at", "ended_at", "trigger_ts"))
+    holding = F.col("event_type") == "holding"
+    found = episodes(inside, rules).select("event_id", "event_type", F.col("icao24").alias(c.key), start.alias("s"), end.alias("e"), trigger.alias("seen"))
+    lowest = F.greatest(F.lit(0), F.ceil((F.col("seen") - first_us) / step))
+    whole_left = F.ceil((F.col("s") - back + look - first_us) / step) - 1
+    settled_left = F.floor((F.col("s") - margin + look - first_us) / step)
+    shared = found.select("*", lowest.alias("lo"), F.least(newest, whole_left, settled_left).alias("hi")).where("lo <= hi")
+    shared = shared.withColumn("until", F.when(holding, F.least(F.col("e"), end_of(F.col("hi")))).otherwise(F.col("e")))
+    # a visit that its last window cuts ends there with the last report up to the window's end
+    cut = shared.where("until < e").select("event_id", c.key, F.timestamp_micros(F.col("until") - rules.visit_gap_s * SECOND).alias("from"), F.timestamp_micros("until").alias("to"))
+    at = inside.select(F.col(c.key).cast("string").alias(c.key), F.col(c.ts).alias("at"))
+    ends = interval_join(cut, at, F.col("from"), F.col("to"), "at", on=[c.key]).groupBy("event_id").agg(F.max(micros(F.col("at"))).alias("cut_end"))
+    shared = shared.join(ends, "event_id", "left").select("event_id", (F.col("hi") - F.col("lo") + 1).alias("windows"), "s", F.coalesce("cut_end", "until").alias("e"))
+
+    # windows that begin between the guard and the look-back before a possible start
+    runs = run_starts(inside, rules).select(c.key, micros(F.col(c.ts)).alias("s"), (micros(F.col(c.ts)) + rules.ahead_s * SECOND).alias("stop"))
+    starts = visits(inside, rules).select(c.key, start.alias("s"), end.alias("stop")).unionByName(runs)
+    nearest_left = F.greatest(F.lit(0), F.ceil((F.col("s") - back + look - first_us) / step), F.ceil((F.col("s") - first_us) / step))
+    edges = starts.select(c.key, "stop", nearest_left.alias("lo"), F.least(newest, settled_left).alias("hi")).where("lo <= hi")
+    edges = edges.select(c.key, "stop", F.explode(F.sequence("lo", "hi")).alias("window_no")).groupBy(c.key, "window_no").agg(F.max("stop").alias("stop"))
+    begin, stop = end_of(F.col("window_no")) - look, F.least(F.col("stop"), end_of(F.col("window_no")))
+    again = interval_join(edges, inside, F.timestamp_micros(begin + 1), F.timestamp_micros(stop), c.ts, on=[c.key], bucket_s=rules.chunk_s)
+    left = end_of(F.col("window_no")) - look
+    at_edge = episodes(again, rules, by=["window_no"]).where((start >= left + margin) & (start <= left + back))
+    at_edge = at_edge.select("event_id", F.lit(1).cast("long").alias("windows"), start.alias("s"), end.alias("e"))
+    return (
+        shared.unionByName(at_edge)
+        .groupBy("event_id")
+        .agg(F.sum("windows").alias("windows"), F.timestamp_micros(F.min("s")).alias("started_at"), F.timestamp_micros(F.max("e")).alias("ended_at"))
+    )
+
+
 def micros_of(rules: TrackRules) -> Column:
     return F.unix_micros(F.col(rules.columns.ts).cast("timestamp"))
 
