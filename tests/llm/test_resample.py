@@ -44,7 +44,7 @@ def brute(docs, target):
     return sorted(((r[0], *r[2:], rank[r].pop() if rank.get(r) else None) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+@pytest.mark.parametrize("sf", [SF])
 def test_op12_against_brute_force(spark, sf):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     target = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]

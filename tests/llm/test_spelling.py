@@ -54,7 +54,7 @@ def rows_of(df):
     return set(got)
 
 
-@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+@pytest.mark.parametrize("sf", [SF])
 def test_op11_against_brute_force(spark, sf):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     want = brute(docs)
