@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from trackflow.config import STACKS
 from trackflow.operators import cdc, joins, occupancy, upsert
+from trackflow.operators.quantiles import exact_percentiles
 from trackflow.operators.sessions import session_counts
 from trackflow.plans import analytics, evidence, probe
 
@@ -246,3 +247,15 @@ def test_merge_touches_only_its_days(spark, tmp_path):
     upsert.merge_days(spark, path, source, lambda t, s: upsert.extend_later(t, s, "event_id", {"n": F.col("s.n")}), "started_at")
     assert files() == before and len(before) == 2
     assert sorted((r.event_id, r.n) for r in spark.read.parquet(path).collect()) == [("e1", 0), ("e2", 7), ("e3", 0), ("f2", 8)]
+
+
+def test_exact_percentiles_against_spark(spark):
+    rnd = random.Random(5)
+    rows = [(k, rnd.choice([None, float(rnd.randrange(50)), rnd.gauss(0, 1e6), rnd.random() * 1e-6])) for k in "abc" for _ in range(700)] + [("one", 3.5), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    shares = [0.0, 0.05, 0.5, 0.95, 1.0]
+    want = df.groupBy("k").agg(F.count("x").alias("n"), *[F.percentile("x", F.lit(p)).alias(f"p{i}") for i, p in enumerate(shares)]).where("n > 0")
+    assert sorted(map(tuple, exact_percentiles(df, "x", shares, by=["k"]).collect())) == sorted(map(tuple, want.collect()))
+    whole = df.agg(F.count("x"), *[F.percentile("x", F.lit(p)) for p in shares])
+    assert list(map(tuple, exact_percentiles(df, "x", shares).collect())) == list(map(tuple, whole.collect()))
+    assert exact_percentiles(df.limit(0), "x", shares).count() == 0

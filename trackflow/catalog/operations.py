@@ -146,10 +146,10 @@ def changed_episodes(spark, sf_dir):
 
 @query(
     "merge_occupancy",
-    f"""{EPS}, {_OCC}, old AS (SELECT minute, stack, holding_count + 1 AS holding_count, minute AS updated_at FROM occ WHERE minute < make_timestamp({SPAN[0] + 15 * DAY}000000)),
-    new AS (SELECT *, {NOW_SQL} AS updated_at FROM occ WHERE minute >= make_timestamp({SPAN[0] + 15 * DAY - 1800}000000))
-    SELECT coalesce(new.minute, old.minute) AS minute, coalesce(new.stack, old.stack) AS stack,
-    coalesce(new.holding_count, old.holding_count) AS holding_count, coalesce(new.updated_at, old.updated_at) AS updated_at FROM old FULL OUTER JOIN new ON old.minute = new.minute AND old.stack = new.stack""",
+    # Of the stored first half, counts are one too high; from half an hour before its end on, fresh rows replace it.
+    f"""{EPS}, {_OCC}, fresh AS (SELECT *, minute >= make_timestamp({SPAN[0] + 15 * DAY - 1800}000000) AS is_new FROM occ)
+    SELECT minute, stack, CASE WHEN is_new THEN holding_count ELSE holding_count + 1 END AS holding_count,
+    CASE WHEN is_new THEN {NOW_SQL} ELSE minute END AS updated_at FROM fresh""",
 )
 def merge_occupancy(spark, sf_dir):
     occ = occupancy.occupancy(episodes(spark, sf_dir), *SPAN)

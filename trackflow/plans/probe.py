@@ -11,6 +11,7 @@ from trackflow.config import TURN_BUCKETS, TURN_CANDIDATES, TURN_LABELS, TrackRu
 from trackflow.functions.geo import nearest
 from trackflow.functions.numbers import steady_round
 from trackflow.operators.episodes import most_common_stack
+from trackflow.operators.quantiles import exact_percentiles
 from trackflow.operators.tracks import degrees, in_stack_zone, track_frames
 
 
@@ -98,12 +99,8 @@ def histogram(
 def threshold_sweep(probe: DataFrame, thresholds: Sequence[float] = TURN_CANDIDATES) -> DataFrame:
     """Keys reaching each threshold and their median time in zone."""
     reached = F.explode(F.filter(F.array(*[F.lit(t) for t in thresholds]), lambda t: F.col("max_turn_deg") >= t))
-    hits = (
-        probe.select("minutes_in_zone", reached.alias("threshold"))
-        .groupBy("threshold")
-        .agg(F.count(F.lit(1)).alias("n"), F.percentile("minutes_in_zone", F.lit(0.5)).alias("median_min"))
-    )
+    hits = exact_percentiles(probe.select("minutes_in_zone", reached.alias("threshold")), "minutes_in_zone", [0.5], by=["threshold"])
     wanted = probe.sparkSession.range(1).select(F.explode(F.array(*[F.lit(int(t)) for t in thresholds])).alias("threshold"))
     return wanted.join(hits, "threshold", "left").select(
-        "threshold", F.coalesce("n", F.lit(0)).alias("keys"), "median_min"
+        "threshold", F.coalesce("n", F.lit(0)).alias("keys"), F.col("p0").alias("median_min")
     )
