@@ -9,11 +9,12 @@ from trackflow.catalog import proxies as P
 from trackflow.catalog.cleaning import _ROUND, _VALID, RAW, REF, UNIQUE, raw_states, weather_raw
 from trackflow.catalog.detection import ALL_EPISODES, POS, RULES, positions
 from trackflow.catalog.registry import query, rounded
+from trackflow.catalog.operations import _LIFE, LOG
 from trackflow.operators.episodes import conform
 from trackflow.operators.silver import dedupe
 from trackflow.session import shared_folder
 from trackflow.sources.landing import append_stream
-from trackflow.streaming import detect, etl, stateful
+from trackflow.streaming import changes, detect, etl, stateful
 
 LINEAGE = ("source_file", "ingested_at", "ingest_date")
 
@@ -116,3 +117,31 @@ def stream_detect_stateful(spark, sf_dir):
         delivery.write.mode("append").parquet(source)
         stateful.detect_stateful(etl.table_stream(spark, source, schema), log, checkpoint, RULES, delay="3 minutes").awaitTermination()
     return rounded(conform(stateful.logged_episodes(spark, log, RULES)))
+
+
+def followed_log(spark, sf_dir):
+    """The change log in three deliveries out of order, the second one delivered twice, folded batch by batch and then compacted."""
+    source, folds, checkpoint = (shared_folder(spark, n) for n in ("changes", "folds", "checkpoint"))
+    log = P.load(spark, sf_dir, P.QUEUE_LOG)
+    schema = ", ".join(f"{n} {t}" for n, t in log.dtypes)
+    part = F.pmod(F.xxhash64("event_id", "_sort_by"), F.lit(3))
+    for k in (0, 1, 1, 2):
+        log.where(part == k).write.mode("append").parquet(source)
+        changes.follow_changes(etl.table_stream(spark, source, schema), folds, "event_id", checkpoint).awaitTermination()
+        if k == 1:
+            changes.compact(spark, folds, "event_id")
+    return folds
+
+
+@query(
+    "stream_current_rows",
+    f"""{LOG}, k AS (SELECT * FROM q WHERE _pg_change_type <> 'update_preimage' QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY _sort_by DESC) = 1)
+    SELECT * FROM k WHERE _pg_change_type <> 'delete'""",
+)
+def stream_current_rows(spark, sf_dir):
+    return changes.current(spark, followed_log(spark, sf_dir), "event_id")
+
+
+@query("stream_lifecycle", f"{LOG}, {_LIFE} SELECT * FROM lifecycle")
+def stream_lifecycle(spark, sf_dir):
+    return changes.lifecycles(spark, followed_log(spark, sf_dir))
