@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from trackflow import schemas
 from trackflow.catalog import proxies as P
 from trackflow.catalog.cleaning import _ROUND, _VALID, RAW, REF, UNIQUE, raw_states, weather_raw
-from trackflow.catalog.detection import ALL_EPISODES, POS, RULES, positions
-from trackflow.catalog.registry import query, rounded
+from trackflow.catalog.detection import ALL_EPISODES, POS, RULES, approach_ctes, episode_ctes, feature_ctes, holding_ctes, positions, visit_ctes
 from trackflow.catalog.operations import _LIFE, LOG
+from trackflow.catalog.registry import query, rounded
+from trackflow.config import STACKS
 from trackflow.operators.episodes import conform
 from trackflow.operators.silver import dedupe
 from trackflow.session import shared_folder
 from trackflow.sources.landing import append_stream
-from trackflow.streaming import changes, detect, etl, stateful
+from trackflow.streaming import chain, changes, detect, etl, stateful
 
 LINEAGE = ("source_file", "ingested_at", "ingest_date")
 
@@ -145,3 +146,32 @@ def stream_current_rows(spark, sf_dir):
 @query("stream_lifecycle", f"{LOG}, {_LIFE} SELECT * FROM lifecycle")
 def stream_lifecycle(spark, sf_dir):
     return changes.lifecycles(spark, followed_log(spark, sf_dir))
+
+
+# Landing files to occupancy: the same reports cleaned, searched and counted by SQL.
+_CLEANED = f"{UNIQUE.replace(P.duck_sql(P.RAW_STATES), P.duck_sql(P.RAW_TRACKS))} SELECT uniq.* EXCLUDE (fetched_ts) FROM uniq WHERE {_VALID}"
+_CHAINED = f"""WITH clean AS ({_CLEANED}), {feature_ctes('clean')}, {visit_ctes()}, {holding_ctes()}, {approach_ctes()}, {episode_ctes('holding+aborted')}"""
+_SPAN = (P.EPOCH, P.EPOCH + 2400)
+
+
+def chained(spark, sf_dir):
+    """Two cycles, each after half of the files have landed, and a third that finds nothing new."""
+    landing, root = shared_folder(spark, "landing-chain"), shared_folder(spark, "chain")
+    raw = P.load(spark, sf_dir, P.RAW_TRACKS)
+    first = F.col("time_position") < P.EPOCH + 900
+    for part in (first | F.col("time_position").isNull(), ~first, None):
+        if part is not None:
+            raw.where(part).withColumn("day", F.lit("2024-01-01")).write.mode("append").partitionBy("day").json(landing)
+        chain.run_cycle(spark, landing, root, P.load(spark, sf_dir, P.REFERENCE), _SPAN, RULES)
+    return root
+
+
+@query(
+    "stream_chain",
+    f"""{_CHAINED}, grid AS (SELECT make_timestamp({_SPAN[0]}000000) + INTERVAL 1 MINUTE * m AS minute, s AS stack FROM range(0, {(_SPAN[1] - _SPAN[0]) // 60 + 1}) r(m),
+      (SELECT unnest([{", ".join(f"'{p.id}'" for p in STACKS)}]) AS s))
+    SELECT minute, stack, CAST(count(DISTINCT icao24) AS INTEGER) AS holding_count FROM grid LEFT JOIN out
+    ON location = stack AND event_type = 'holding' AND started_at <= minute + INTERVAL 1 MINUTE AND ended_at >= minute GROUP BY minute, stack""",
+)
+def stream_chain(spark, sf_dir):
+    return spark.read.parquet(f"{chained(spark, sf_dir)}/{chain.HELD}").drop("event_date")
