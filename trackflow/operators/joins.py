@@ -33,22 +33,23 @@ def interval_join(
     return inside.drop("__from", "__to", "__bucket", "__at")
 
 
-FAN = 64  # nodes of one level below one node of the next
-LEVELS = 6  # 64 ** 6 buckets of a second are two thousand years
+FAN = 4096  # nodes of one level below one node of the next
+LEVELS = 3  # 4096 ** 3 buckets of a second are two thousand years
 
 
 def carried_rows(asked: DataFrame, closing: DataFrame, on: Sequence[str]) -> DataFrame:
     """For each asked bucket ``__row``, the ``__last`` of the latest closing bucket before it, if there is one.
 
-    A scan in levels: 64 neighbouring buckets make a node of the next level, with the last row among them. A bucket looks
-    among the earlier nodes beside its own on each level; the lowest level with a find has the latest. So no window holds more than
-    64 rows, whether or not there are keys.
+    A scan in levels: 4,096 neighbouring buckets make a node of the next level, with the last row among them. A bucket looks
+    among the earlier nodes beside its own on each level; the lowest level with a find has the latest. So no window holds more
+    rows than that, whether or not there are keys.
     """
     levels = F.explode(F.array(*[F.struct(F.lit(k).alias("__level"), bucket(F.col("__bucket"), FAN**k).alias("__node")) for k in range(LEVELS)])).alias("__at")
     place = [*on, "__level", "__node"]
     wanted = asked.select(*on, "__bucket", levels).select(*on, "__bucket", "__at.*")
-    held = closing.select(*on, "__last", levels).select(*on, "__last", "__at.*").groupBy(*place).agg(F.max("__last").alias("__last"))
-    nodes = held.join(wanted.select(*place, F.lit(1).alias("__asked")).distinct(), place, "full_outer")
+    held = closing.select(*on, "__last", levels).select(*on, "__at.*", "__last", F.lit(None).cast("int").alias("__asked"))
+    both = held.unionByName(wanted.select(*place, F.lit(1).alias("__asked")), allowMissingColumns=True)
+    nodes = both.groupBy(*place).agg(F.max("__last").alias("__last"), F.max("__asked").alias("__asked"))
     beside = Window.partitionBy(*on, "__level", bucket(F.col("__node"), FAN)).orderBy("__node").rowsBetween(Window.unboundedPreceding, -1)
     before = nodes.withColumn("__row", F.last("__last", ignorenulls=True).over(beside)).where("__asked IS NOT NULL AND __row IS NOT NULL")
     return wanted.join(before.select(*place, "__row"), place).groupBy(*on, "__bucket").agg(F.min_by("__row", "__level").alias("__row"))

@@ -56,13 +56,15 @@ def occupancy(
     days = spark.range(start_s // 60 // DAY_MINUTES, end_s // 60 // DAY_MINUTES + 1).select(F.col("id").alias("day"), F.explode(F.array(*[F.lit(p.id) for p in points])).alias("stack"))
     totals = changes.groupBy("stack", day.alias("day")).agg(F.sum("step").alias("step"))
     earlier = Window.partitionBy("stack").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    opening = days.join(totals, ["stack", "day"], "left").select("stack", "day", F.coalesce(F.sum("step").over(earlier), F.lit(0)).alias("opening"))
-    grid = minute_grid(spark, points, start_s, end_s).withColumn("m", (micros(F.col("minute")) / MINUTE).cast("long"))
-    within = Window.partitionBy("stack", "day").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
-    moved = grid.join(changes, ["stack", "m"], "left").withColumn("day", day)
-    so_far = F.coalesce(F.sum("step").over(within), F.lit(0))
-    return moved.select("minute", "stack", "day", so_far.alias("so_far")).join(opening, ["stack", "day"]).select(
-        "minute", "stack", (F.col("opening") + F.col("so_far")).cast("int").alias("holding_count")
+    opening = days.join(totals, ["stack", "day"], "left").select("stack", "day", F.coalesce(F.sum("step").over(earlier), F.lit(0)).alias("step"))
+    minute_no = (micros(F.col("minute")) / MINUTE).cast("long")
+    grid = minute_grid(spark, points, start_s, end_s).select("minute", "stack", minute_no.alias("m"), F.lit(0).cast("long").alias("step"))
+    at_dawn = opening.select("stack", (F.col("day") * DAY_MINUTES).alias("m"), "step")
+    # minutes, changes and openings are rows of one window, so the grid moves once
+    rows = grid.unionByName(changes, allowMissingColumns=True).unionByName(at_dawn, allowMissingColumns=True)
+    within = Window.partitionBy("stack", "day").orderBy("m").rangeBetween(Window.unboundedPreceding, 0)
+    return rows.select("*", day.alias("day")).withColumn("holding_count", F.sum("step").over(within).cast("int")).where("minute IS NOT NULL").select(
+        "minute", "stack", "holding_count"
     )
 
 
