@@ -97,6 +97,10 @@ def test_pack_edge_rows(spark):
         got[r.doc_id, r.length].append((r.sequence_id, r.offset))
     assert sorted(o for _, o in got[1, 5]) == [0, 5] and len({s for s, _ in got[1, 5]}) == 1
     assert got[2, None] == got[3, 11] == got[4, 0] == [(None, None)] and got[5, 10][0][1] == 0
+    names = ("first", "last", "bin", "at", "per_bin", "run_length", "salt", "rank", "row", "key_0")
+    clash = df.select("doc_id", "piece", "length", *[F.lit(n).alias(n) for n in names])
+    again = packing.pack(clash, "length", 10, ["doc_id", "piece"]).collect()
+    assert len(again) == 6 and all(r[n] == n for r in again for n in names)
     assert packing.pack(df.select("doc_id", "piece", "length").limit(0), "length", 10, ["doc_id"]).count() == 0
 
 

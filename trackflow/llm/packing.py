@@ -196,24 +196,27 @@ def pack(pieces: DataFrame, length_col: str, capacity: int, keys: list[str], sal
     names is an error of the caller. No rows: no rows. ``pieces`` is read three times, so hand over a stored table.
     """
     spark = pieces.sparkSession
-    fits = F.col(length_col).between(1, capacity)
-    histogram = {r[0]: r[1] for r in pieces.where(fits).groupBy(F.col(length_col).cast("long")).count().collect()}  # at most `capacity` rows
+    order = [f"key_{i}" for i in range(len(keys))]
+    # the caller's columns travel in one struct, so that no name of theirs meets one of ours
+    rows = pieces.select(F.struct(*pieces.columns).alias("row"), F.col(length_col).alias("length"), *[F.col(k).alias(o) for k, o in zip(keys, order, strict=True)])
+    fits = F.col("length").between(1, capacity)
+    histogram = {r[0]: r[1] for r in rows.where(fits).groupBy(F.col("length").cast("long")).count().collect()}  # at most `capacity` rows
     plan = packed(histogram, capacity, groups)
     runs = spark.createDataFrame(plan.runs, RUNS)
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)))
-    counts = salted.where(fits).groupBy(F.col(length_col).alias("_length"), F.col("_salt").alias("_s")).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_length").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_length", "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))  # at most `salts` rows of a length
-    place = Window.partitionBy(length_col, "_salt").orderBy(*keys)
-    ranked = salted.withColumn("_at", F.row_number().over(place) - 1).join(starts, (F.col(length_col) == F.col("_length")) & (F.col("_salt") == F.col("_s")), "left")
-    ranked = ranked.withColumn("_rank", F.col("_at") + F.col("_start"))
-    met = (F.col(length_col) == F.col("run_length")) & F.col("_rank").between(F.col("first"), F.col("last"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    counts = salted.where(fits).groupBy("length", "salt").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # at most `salts` rows of a length
+    place = Window.partitionBy("length", "salt").orderBy(*order)
+    ranked = salted.withColumn("place", F.row_number().over(place) - 1).join(starts, ["length", "salt"], "left")
+    ranked = ranked.withColumn("rank", F.col("place") + F.col("start"))
+    met = (F.col("length") == F.col("run_length")) & F.col("rank").between(F.col("first"), F.col("last"))
     placed = ranked.join(F.broadcast(runs), met, "left")  # a bounded number of runs for each length
-    index = F.col("_rank") - F.col("first")
+    index = F.col("rank") - F.col("first")
     return placed.select(
-        *pieces.columns,
+        "row.*",
         (F.col("bin") + F.floor(index / F.col("per_bin"))).cast("long").alias("sequence_id"),
-        (F.col("at") + F.pmod(index, F.col("per_bin")) * F.col(length_col)).cast("long").alias("offset"),
+        (F.col("at") + F.pmod(index, F.col("per_bin")) * F.col("length")).cast("long").alias("offset"),
     )
 
 
