@@ -2,7 +2,7 @@
 
 A signature holds ``SLOTS`` minima of 16 bits. Its slots are cut into chunks of ``WIDTH``; of two signatures that differ in at most
 chunks * (ERRORS + 1) - 1 slots, some chunk differs in at most ERRORS, so they share one of the keys that leave ERRORS slots of a chunk
-out. With the defaults that is 23 of 48 slots: two sets alike in exactly 0.8 differ in more once in about 10**5 pairs, more
+out. With the defaults that is 23 of 48 slots: two sets alike in exactly 0.8 differ in more once in about 300,000 pairs, more
 alike ones much more seldom. No pair within that distance is lost, and every link is confirmed on the full sets.
 
 Keys of large groups are never expanded into pairs. First each set is compared with one centre, the first member of the keys it

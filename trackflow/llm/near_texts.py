@@ -28,7 +28,7 @@ def near_groups(docs: DataFrame, shingle_words: int = 5, radius: int = 12, simil
     ``kept`` is true for the rows whose id is the smallest of their component; of different texts under that id, for the one
     of the smallest hash. Equal texts are one node, so copies do not meet; ``text_hash`` is the SHA-256 of the text. Null texts are
     empty and, like all texts without words, alike. Rows with a null id are left out. Sets are compared as 32-bit hashes; of pairs
-    alike in exactly 0.8, keys miss one in about 10**5 that the fingerprints miss as well.
+    alike in exactly 0.8, keys miss one in about 300,000 that the fingerprints miss as well.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
