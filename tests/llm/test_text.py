@@ -245,6 +245,33 @@ def test_parts_of_names_do_not_blank_the_content(start):
     assert html_text.main_text(f"{start}<p>The text.</p>{side}<p>More.</p>") == "The text. More."
 
 
+STORY = "A sentence of the story that is told here. " * 10
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"<main><p>{STORY}</p><p>{STORY}</p></main><article>Teaser</article>", f"{STORY}{STORY}"),
+    (f"<main><p>{STORY}</p><article>Teaser</article><p>{STORY}</p></main>", f"{STORY}{STORY}"),
+    (f"<div class='content'><p>{STORY}</p></div><article class='card'><p>Another story</p></article>", STORY),
+    (f"<article><h3>Card</h3></article><div><p>{STORY}</p><p>{STORY}</p></div>", f"{STORY}{STORY}"),
+    (f"<div><p>{STORY}</p><p><a>l</a></p><p><a>l</a></p><p><a>l</a></p><p>{STORY}</p></div>", f"{STORY}{STORY}"),
+    (f"<div><p>{STORY}</p>{'<p><a>link</a></p>' * 4}<p>{STORY[:80]}</p>{'<p><a>link</a></p>' * 4}<p>Odd.</p></div>", f"{STORY}{STORY[:80]}"),
+    (f"<article><p>{STORY}</p><div class='conversation'><p>Nice</p></div><article><p>Me too</p></article></article>", STORY),
+    (f"<main><article><h1><a>Title</a></h1><p>{STORY}</p></article><article><p>Card</p></article></main>", f"Title {STORY}"),
+    (f"<main><article><p>{STORY}</p></article><article><p>{STORY}</p></article><article><p>{STORY}</p></article></main>", STORY * 3),
+    ("<article><ul><li><a>a</a><li><a>b</a><li><a>c</a><li><a>d</a></ul></article>", "a b c d"),
+    (f"<article><h1>T</h1><div class='content'><p>{STORY}</p></div><p><a>one</a></p><p><a>two</a></p></article>", f"T {STORY}one two"),
+], ids=range(11))
+def test_content_by_the_text_it_holds(html, text):
+    assert html_text.main_text(html) == " ".join(text.split())
+
+
+def test_the_window_decides_inside_of_an_article():
+    links = "".join(f"<p><a href=x>link {i}</a></p>" for i in range(5))
+    html = f"<article><h1>T</h1><p>One.</p>{links}<p>Two.</p></article>"
+    assert html_text.main_text(html) == "T One. Two."
+    assert html_text.main_text(html, window=50) == "T One. link 0 link 1 link 2 link 3 link 4 Two."
+
+
 def test_op9_on_the_given_pages(spark):
     """Every given page keeps its text in one article element of paragraphs."""
     import html
