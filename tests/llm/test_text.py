@@ -117,10 +117,19 @@ def test_templates_that_rewrite_history():
     assert chat.formatted(turns, rewriting, "assistant")["loss_spans"] == []
 
 
-def test_windows_change_no_result():
-    turns = [("user", f"t{k}") for k in range(60)]
-    for render in (chat.marked_turns, rewriting, closing, far):
-        assert chat.turn_spans(turns, render, window=3) == chat.prefix_spans(turns, render)
+def passing(turns, role=None):
+    """Marks the first turn while there are ten to twelve turns, and forgets the mark afterwards."""
+    mark = "*" if 10 <= len(turns) <= 12 else ""
+    return mark + "".join(f"[{r}]{t};" for r, t in turns) + (f"[{role}]" if role else "")
+
+
+@pytest.mark.parametrize("n", [16, 40, 400])
+def test_rewrites_are_found_at_any_length(n):
+    turns = [("user", f"t{k}") for k in range(n)]
+    found = [chat.turn_spans(turns, render) for render in (passing, rewriting, closing, far)]
+    assert [x[2] for x in found] == [9, 2, 0, None] and [x[1] for x in found[:3]] == [[], [], []]
+    whole, spans, _ = found[3]
+    assert whole == far(turns) and [whole[a:b] for a, b in spans] == [f"[user]t{k};" + ("t0" if k == 20 else "") for k in range(n)]
 
 
 def test_chat_edge_rows(spark):

@@ -1,10 +1,9 @@
 """Chat formatting by a template that is only asked to render, never to explain itself.
 
 Successive turn prefixes are rendered and consecutive outputs compared: what the longer one adds is the span of its last
-turn, and an output that does not begin with the one before belongs to a template that rewrites history. Long
-conversations are rendered in windows of recent turns; the spans found must add up to the rendering of the whole, else
-full prefixes are rendered. Beyond two windows of turns a rewrite is found only where it shows in a window or in the
-rendering of the whole: one that comes with some number of turns and is gone at the end is not.
+turn, and an output that does not begin with the one before belongs to a template that rewrites history. Every prefix of
+every conversation is rendered, whatever its length, so a rewrite that comes with some number of turns and is gone at the end
+is found as well. A conversation of n turns costs n renderings; only two outputs are held at a time.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ Turns = list[tuple[str, str]]
 #: (turns, open_role) -> text; with a role, the text ends with the opening of that role's next turn.
 Render = Callable[[Turns, "str | None"], str]
 END = "</turn>"
-WINDOW = 8
 BATCH_CHARS = 8 << 20
 
 
@@ -47,7 +45,7 @@ def marked_turns(turns: Turns, open_role: str | None = None) -> str:
     return out + (opening(open_role) if open_role is not None else "")
 
 
-def prefix_spans(turns: Turns, render: Render) -> tuple[str, list[tuple[int, int]], int | None]:
+def turn_spans(turns: Turns, render: Render) -> tuple[str, list[tuple[int, int]], int | None]:
     """The whole output, the span of each turn, and the first turn that changes what was rendered before it."""
     before, spans = render([], None), []
     for k in range(1, len(turns) + 1):
@@ -59,30 +57,6 @@ def prefix_spans(turns: Turns, render: Render) -> tuple[str, list[tuple[int, int
     return before, spans, None
 
 
-def turn_spans(turns: Turns, render: Render, window: int = WINDOW) -> tuple[str, list[tuple[int, int]], int | None]:
-    """As ``prefix_spans``, at a cost in proportion to the conversation where the template allows it.
-
-    Beyond ``2 * window`` turns, rewrites that neither a window nor the whole shows are not found.
-    """
-    if len(turns) <= 2 * window:
-        return prefix_spans(turns, render)
-    parts = [render([], None)]
-    for k in range(1, len(turns) + 1):
-        recent = turns[max(0, k - window) : k]
-        before, now = render(recent[:-1], None), render(recent, None)
-        if not now.startswith(before):
-            return prefix_spans(turns, render)
-        parts.append(now[len(before) :])
-    whole = render(turns, None)
-    if "".join(parts) != whole:
-        return prefix_spans(turns, render)
-    spans, at = [], len(parts[0])
-    for part in parts[1:]:
-        spans.append((at, at + len(part)))
-        at += len(part)
-    return whole, spans, None
-
-
 def text_spans(turns: Turns, spans: list[tuple[int, int]], render: Render) -> list[tuple[int, int]]:
     """Where the text of each turn lies inside its span, found from renderings of its role with and without a text."""
     frames: dict[str, tuple[int, int]] = {}
@@ -97,9 +71,9 @@ def text_spans(turns: Turns, spans: list[tuple[int, int]], render: Render) -> li
     return out
 
 
-def formatted(turns: Turns, render: Render, loss_role: str, window: int = WINDOW) -> dict:
+def formatted(turns: Turns, render: Render, loss_role: str) -> dict:
     """Output, turn spans, text spans and loss spans of one conversation; no spans for a template that rewrites history."""
-    whole, spans, rewrites = turn_spans(turns, render, window)
+    whole, spans, rewrites = turn_spans(turns, render)
     texts = text_spans(turns, spans, render) if rewrites is None else []
     pair = lambda xs: [{"start": a, "end": b} for a, b in xs]
     return {"formatted": whole, "turn_spans": pair(spans), "text_spans": pair(texts), "loss_spans": pair(s for s, (role, _) in zip(texts, turns, strict=False) if role == loss_role), "rewrites_at": rewrites}
@@ -108,7 +82,7 @@ def formatted(turns: Turns, render: Render, loss_role: str, window: int = WINDOW
 SPANS = "array<struct<start: int, end: int>>"
 
 
-def format_conversations(rows: DataFrame, render: Render = marked_turns, loss_role: str = "assistant", window: int = WINDOW) -> DataFrame:
+def format_conversations(rows: DataFrame, render: Render = marked_turns, loss_role: str = "assistant") -> DataFrame:
     """Format conversations given as rows (conv_id, turn, role, text); one output row for each conversation.
 
     Turns go by ``turn``; nulls come first and ties go by role and text, so repeated rows become repeated turns. A null role or
@@ -128,7 +102,7 @@ def format_conversations(rows: DataFrame, render: Render = marked_turns, loss_ro
         for batch in batches:
             for key, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and held[0] != key:
-                    out.append({"conv_id": held[0], **formatted(turns, render, loss_role, window)})
+                    out.append({"conv_id": held[0], **formatted(turns, render, loss_role)})
                     size += len(out[-1]["formatted"])
                     turns = []
                     if size > BATCH_CHARS:
@@ -137,7 +111,7 @@ def format_conversations(rows: DataFrame, render: Render = marked_turns, loss_ro
                 held = [key]
                 turns.append((role or "", text or ""))
         if held:
-            out.append({"conv_id": held[0], **formatted(turns, render, loss_role, window)})
+            out.append({"conv_id": held[0], **formatted(turns, render, loss_role)})
         yield pa.RecordBatch.from_pylist(out, schema=target)
 
     ready(rows.sparkSession)
