@@ -172,19 +172,37 @@ def brute_score(text, followers, order=urls.ORDER):
     return total / len(text) if text else 0.0
 
 
-def test_urls_against_brute_force(spark):
+def brute_followers(labelled):
+    followers = {v: [defaultdict(Counter) for _ in range(urls.ORDER + 1)] for v in ("allow", "block")}
+    for text, verdict in labelled:
+        padded = urls.START * urls.ORDER + text
+        for i in range(urls.ORDER, len(padded)):
+            for k in range(urls.ORDER + 1):
+                followers[verdict][k][padded[i - k : i]][padded[i]] += 1
+    return followers
+
+
+def held_out(text):
+    import xxhash
+
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return (h - (1 << 64) * (h >> 63)) % urls.HELD_OUT == 0
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_urls_against_brute_force(spark, whole):
     given = [r.url for r in spark.read.parquet(f"{SF}/pages.parquet").select("url").collect()] + URLS[:-1] + URLS[4:6]
     df = spark.createDataFrame(list(enumerate(given)), "page_id long, url string").withColumn("score", F.lit("clash"))
-    got = {r.page_id: r for r in urls.filter_urls(df, RULES).collect()}
+    got = {r.page_id: r for r in urls.filter_urls(df, RULES, whole=whole).collect()}
     assert len(got) == len(given)
-    followers = {v: [defaultdict(Counter) for _ in range(urls.ORDER + 1)] for v in ("allow", "block")}
+    texts, labelled = [], []
     for u in given:
         host, path = brute_parts(u)
+        start = u.index("://") + 3 if u and "://" in u else 0
+        texts.append((u or "")[:start] + host + (u or "")[start + len(host) :] if whole else host + path)
         if verdict := brute_rule(host, path)[1]:
-            padded = urls.START * urls.ORDER + host + path
-            for i in range(urls.ORDER, len(padded)):
-                for k in range(urls.ORDER + 1):
-                    followers[verdict][k][padded[i - k : i]][padded[i]] += 1
+            labelled.append((texts[-1], verdict))
+    followers = brute_followers(labelled)
     open_ = {}
     for i, u in enumerate(given):
         host, path = brute_parts(u)
@@ -192,11 +210,19 @@ def test_urls_against_brute_force(spark):
         r = got[i]
         assert (r.host, r.path, r.rule) == (host, path, rule) and (verdict is None or r.verdict == verdict)
         if i % 5 == 0:
-            assert abs(r.score - brute_score(host + path, followers)) < 1e-9
+            assert abs(r.score - brute_score(texts[i], followers)) < 1e-9
         if rule is None:
             open_[r.score] = r.verdict
     marks = [v for _, v in sorted(open_.items())]
     assert marks == sorted(marks, reverse=True) and set(marks) == {"allow", "block"}  # one threshold parts them
+    rest = brute_followers([x for x in labelled if not held_out(x[0])])
+    scored = [(round(brute_score(t, rest), 3), v) for t, v in labelled if held_out(t)]
+    total = Counter(v for _, v in scored)
+    gain = lambda cut: sum((v == "block") / total["block"] - (v == "allow") / total["allow"] for s, v in scored if s < cut)
+    bins = sorted({s for s, _ in scored})
+    best, least = max((gain(cut), cut) for cut in [bins[0], *((a + b) / 2 for a, b in zip(bins, bins[1:], strict=False))])
+    assert len(total) == 2 and best >= 0
+    assert all(v == ("allow" if s >= least else "block") for s, v in open_.items() if abs(s - least) > 0.002)
 
 
 def test_models_judge_query_and_fragment(spark):

@@ -2,7 +2,8 @@
 
 URLs that rules allow or block train one model each: a variable-order Markov model, in which every order is smoothed by the
 next shorter one in proportion to how many different characters have followed the context. A URL's score is the difference
-of its log-likelihoods for each character; the threshold that best parts the labelled URLs decides.
+of its log-likelihoods for each character. One labelled URL in ``HELD_OUT``, chosen by a hash of its text, is held out for
+calibration: models of the others score these, and the threshold that parts them best decides on the scores of models of all.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ ORDER = 4
 #: Characters of the uniform distribution below order 0.
 ALPHABET = 256
 START = "\u0002"
+HELD_OUT = 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -83,7 +85,7 @@ def model(counts: DataFrame, order: int) -> DataFrame:
 
 
 def threshold_of(scored: DataFrame) -> float:
-    """The score from which on URLs are allowed: it parts the labelled URLs with the best mean of both hit rates.
+    """The score from which on URLs are allowed: it parts the labelled URLs in ``scored`` with the best mean of both hit rates.
 
     Scores are rounded to thousandths, so the table of candidates has a bounded size; one number reaches the driver. With
     one label only, zero.
@@ -102,25 +104,38 @@ def threshold_of(scored: DataFrame) -> float:
     return float(row[0]) if row and row[0] is not None else 0.0
 
 
+def trained(every: DataFrame, order: int) -> DataFrame:
+    """Gains of the models of the labelled URLs among ``every`` (text, verdict, n, context, char); other URLs count nothing."""
+    sums = {m: F.sum(F.when(F.col("verdict") == m, F.col("n")).otherwise(0)).alias(f"n_{m}") for m in ("allow", "block")}
+    counts = staged(every.groupBy("context", "char").agg(*sums.values()), "counts")
+    return staged(model(counts, order), "gains")
+
+
+def scores(texts: DataFrame, every: DataFrame, gains: DataFrame) -> DataFrame:
+    """``texts`` with the mean gain of their characters, 0 for an empty text."""
+    each = every.select("text", "context", "char").join(gains, ["context", "char"]).groupBy("text").agg((F.sum("gain") / F.count("*")).alias("score"))
+    return texts.join(each, "text", "left").select("text", "verdict", "n", F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
 def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", order: int = ORDER, whole: bool = False) -> DataFrame:
     """The id, ``host``, ``path``, ``rule`` (null if none fits), ``verdict`` and ``score`` of every URL.
 
     A rule fits its host and all subdomains if the path starts with the rule's; the longest wins. Otherwise the models decide:
-    allow from the threshold on. They are trained on and judge the ``whole`` URL with its query and fragment, or else host and
+    allow from the threshold on, which is 0 where the held-out URLs do not have both labels. They are trained on and judge the ``whole`` URL with its query and fragment, or else host and
     path only. A null URL, or one without ``://``, has an empty host and path; a text that is empty has score 0. Repeated rows are
     judged alike and weigh as often as they occur; other columns are not read. No rows: no rows.
     """
-    url = F.col(url_col)
+    spark, url = pages.sparkSession, F.col(url_col)
     parts = pages.select(F.col(id_col).alias("_id"), host_of(url).alias("host"), path_of(url).alias("path"), *([whole_of(url).alias("text")] if whole else []))
     parts = parts.select("_id", "host", "path", F.col("text") if whole else F.concat("host", "path").alias("text"), ruling(F.col("host"), F.col("path"), rules).alias("_rule"))
     texts = staged(parts.groupBy("text", F.col("_rule.verdict").alias("verdict")).agg(F.count("*").alias("n")), "urls")  # the text settles the rule
-    every = texts.select("text", "verdict", "n", F.explode(grams(F.col("text"), order)).alias("g")).select("text", "verdict", "n", "g.*")
-    sums = {m: F.sum(F.when(F.col("verdict") == m, F.col("n")).otherwise(0)).alias(f"n_{m}") for m in ("allow", "block")}
-    counts = staged(every.groupBy("context", "char").agg(*sums.values()), "counts")
-    gains = staged(model(counts, order), "gains")
-    each = every.select("text", "context", "char").join(gains, ["context", "char"]).groupBy("text").agg((F.sum("gain") / F.count("*")).alias("score"))
-    scored = staged(texts.join(each, "text", "left").select("text", "verdict", "n", F.coalesce("score", F.lit(0.0)).alias("score")), "scores")
-    least = threshold_of(scored)
+    spread = texts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "text")  # few files of texts hold many characters
+    every = spread.select("text", "verdict", "n", F.explode(grams(F.col("text"), order)).alias("g")).select("text", "verdict", "n", "g.*")
+    scored = staged(scores(texts, every, trained(every, order)), "scores")
+    held = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
+    kept = every.withColumn("verdict", F.when(~held, F.col("verdict")))  # grams of the held out stay known, with a count of 0
+    apart = held & F.col("verdict").isNotNull()
+    least = threshold_of(scores(texts.where(apart), every.where(apart), trained(kept, order)))
     judged = parts.join(scored.select("text", "score"), "text")
     verdict = F.coalesce("_rule.verdict", F.when(F.col("score") >= least, "allow").otherwise("block"))
     return judged.select(F.col("_id").alias(id_col), "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"), "score")
