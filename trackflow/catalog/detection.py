@@ -14,6 +14,7 @@ from trackflow.functions.geo import great_circle_nm, nearest, point_id
 from trackflow.functions.text import episode_id
 from trackflow.operators import episodes as E
 from trackflow.operators import tracks as K
+from trackflow.operators.nearest import nearest_place
 from trackflow.operators.windows import look_ahead, look_back, run_starts
 
 # The proxy presses its data into 30 minutes; ten-minute chunks make visits cross chunk borders.
@@ -147,6 +148,26 @@ def nearest_point(spark, sf_dir):
     )
 
 
+# Every customer is a place inside of the box.
+PLACES = """
+SELECT c_custkey AS place, 506e-1 + (c_custkey * 7919 % 10007) / 10007e0 * 172e-2 AS lat, -181e-2 + (c_custkey * 104729 % 10009) / 10009e0 * 27e-1 AS lon
+FROM customer
+"""
+
+
+@query(
+    "nearest_of_many",
+    f"""{P.ctes(pos=P.POSITIONS, places=PLACES)}, spots AS (SELECT DISTINCT lat, lon FROM pos WHERE lat IS NOT NULL AND lon IS NOT NULL),
+    pairs AS (SELECT s.lat, s.lon, place, {2 * EARTH_RADIUS_NM!r}e0 * asin(sqrt(least(1e0, pow(sin(radians(p.lat - s.lat) / 2), 2)
+        + cos(radians(s.lat)) * cos(radians(p.lat)) * pow(sin(radians(p.lon - s.lon) / 2), 2)))) AS nm FROM spots s CROSS JOIN places p),
+    best AS (SELECT lat, lon, arg_min(place, nm) AS nearest_id, round(min(nm), 6) AS nearest_nm FROM pairs GROUP BY ALL)
+    SELECT icao24, event_ts, nearest_id, nearest_nm FROM pos LEFT JOIN best USING (lat, lon)""",
+)
+def nearest_of_many(spark, sf_dir):
+    at = positions(spark, sf_dir).select("icao24", "event_ts", "lat", "lon")
+    return rounded(nearest_place(at, P.load(spark, sf_dir, PLACES), "place").drop("lat", "lon"))
+
+
 @query(
     "track_features",
     f"""{FEATURES} SELECT icao24, event_ts, callsign, round(lat, 6) AS lat, round(lon, 6) AS lon, round(alt_ft, 6) AS alt_ft,
