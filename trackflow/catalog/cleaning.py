@@ -12,6 +12,7 @@ from trackflow.functions.text import blank_to_null, clean_key, event_label, json
 from trackflow.functions.times import hour_floor, iso_to_epoch, next_hour, plus_seconds, seconds_between
 from trackflow.operators import quality as Q
 from trackflow.operators import silver as S
+from trackflow.plans.serving import track_windows
 from trackflow.session import shared_folder
 from trackflow.sources import feeds, landing, reference
 
@@ -105,6 +106,23 @@ def silver_layout(spark, sf_dir):
     return rounded(spark.read.parquet(path))
 
 
+# The keys of users 3, 42 and 81.
+LOOKUP = ("000003", "00002a", "000051")
+
+
+@query(
+    "track_lookup",
+    f"""{UNIQUE} SELECT icao24, event_ts, round(alt_ft, 6) AS alt_ft FROM uniq WHERE {_VALID} AND icao24 IN {LOOKUP}
+    AND event_ts BETWEEN TIMESTAMP '2024-01-01 00:05:00' AND TIMESTAMP '2024-01-01 00:25:00'""",
+)
+def track_lookup(spark, sf_dir):
+    path = shared_folder(spark, "lookup")
+    dated = Q.keep_valid(unique(spark, sf_dir)).withColumn("event_date", F.to_date("event_ts"))
+    landing.write_clustered(dated, path, "event_date", ["icao24", "event_ts"], lookup=["icao24"], row_group_bytes=16 << 20)
+    first, last = (F.lit(t).cast("timestamp") for t in ("2024-01-01 00:05:00", "2024-01-01 00:25:00"))
+    return rounded(track_windows(spark.read.parquet(path), first, last, ["alt_ft"], LOOKUP))
+
+
 @query("exclude_prefix", f"{SILVER} SELECT icao24, event_ts, fetched_ts FROM silver WHERE NOT starts_with(icao24, '00000')")
 def exclude_prefix(spark, sf_dir):
     return S.without_prefix(silver(spark, sf_dir), "00000").select("icao24", "event_ts", "fetched_ts")

@@ -146,6 +146,19 @@ def track_window(
     return wanted.select("icao24", "event_ts", *columns).orderBy("icao24", "event_ts")
 
 
+def track_windows(
+    positions: DataFrame, start: Column, end: Column, columns: Sequence[str], keys: Sequence[str], day: str = "event_date"
+) -> DataFrame:
+    """Reports of a few keys between two instants, from a table clustered by day and key.
+
+    Days, keys and times are plain predicates, so days that the span does not touch are not listed, and row groups whose
+    ranges or bloom filters exclude every key are not read. No keys: no rows. The rows come unordered.
+    """
+    days = F.col(day).between(F.to_date(start), F.to_date(end))
+    wanted = positions.where(days & F.col("event_ts").between(start, end) & F.col("icao24").isin(list(keys)))
+    return wanted.select("icao24", "event_ts", *columns)
+
+
 def downsample(positions: DataFrame, unit: str = "minute", rules: TrackRules = TrackRules()) -> DataFrame:
     """One row per key and minute: means, first heading, ground flag, and nearest points."""
     first = F.min(F.when(F.col("track_deg").isNotNull(), F.struct("event_ts", "track_deg")))["track_deg"]

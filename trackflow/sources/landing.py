@@ -44,15 +44,32 @@ def append_stream(
     return writer.partitionBy(*partition_by).trigger(**trigger).start(path)
 
 
-def write_clustered(df: DataFrame, path: str, day: str, cluster_by: Sequence[str], mode: str = "append") -> None:
+def write_clustered(
+    df: DataFrame,
+    path: str,
+    day: str,
+    cluster_by: Sequence[str],
+    mode: str = "append",
+    lookup: Sequence[str] = (),
+    lookup_values: int = 100_000,
+    row_group_bytes: int | None = None,
+) -> None:
     """Write by day, files sorted by ``cluster_by``.
 
     Rows are range-partitioned on day and all cluster columns, so a busy key splits at its time
-    column and each file covers a narrow range that readers can skip by.
+    column and each file covers a narrow range that readers can skip by. Columns in ``lookup`` get a
+    bloom filter in each row group, sized for ``lookup_values`` different values, so that a search
+    for one value also skips groups whose range holds it but whose rows do not: in small appended
+    files, and by columns that the files are not sorted by. ``row_group_bytes`` sets how much is
+    skipped or read at once; by default the format's own size.
     """
-    df.repartitionByRange(day, *cluster_by).sortWithinPartitions(day, *cluster_by).write.mode(mode).partitionBy(
-        day
-    ).parquet(path)
+    writer = df.repartitionByRange(day, *cluster_by).sortWithinPartitions(day, *cluster_by).write.mode(mode)
+    for column in lookup:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(lookup_values))
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    writer.partitionBy(day).parquet(path)
 
 
 def append_log(df: DataFrame, path: str, schema: str) -> None:
