@@ -15,11 +15,13 @@ from trackflow.catalog.registry import query, rounded, steady_sql
 from trackflow.config import RUNWAYS, STACKS
 from trackflow.operators import occupancy, silver
 from trackflow.operators.joins import flag_members
+from trackflow.operators.quantiles import quantile_sketches, sketched_percentiles, within_ranks
 from trackflow.operators.sessions import session_counts
 from trackflow.plans import analytics as A
 from trackflow.plans import evidence as V
 from trackflow.plans import probe as B
 from trackflow.plans import serving as L
+from trackflow.session import shared_folder
 
 tracks, calls = load("TRACKS"), load("CALLS")
 TRACKS = P.ctes(p=P.TRACKS, e=P.EPISODES)
@@ -192,6 +194,19 @@ def freshness_lag(spark, sf_dir):
     return rounded(A.lag_stats(A.lag_samples(hourly, "sampled_at", "called_at")))
 
 
+@query(
+    "sketch_percentiles",
+    """SELECT event_type, count(value) AS n, TRUE AS p0_close, TRUE AS p1_close, TRUE AS p2_close FROM events WHERE NOT isnan(value) GROUP BY event_type""",
+)
+def sketch_percentiles(spark, sf_dir):
+    """Daily sketches are stored, merged over all days, and their percentiles held against the ranks of all rows."""
+    shares, path = (0.05, 0.5, 0.95), shared_folder(spark, "sketches")
+    events = P.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    quantile_sketches(events, "value", ["day", "event_type"]).write.partitionBy("day").parquet(path)
+    found = sketched_percentiles(spark.read.parquet(path), shares, ["event_type"])
+    return within_ranks(events, "value", found, shares, 0.03, ["event_type"])
+
+
 @query(
     "session_counts",
     f"""{POS}, g AS (SELECT icao24, event_ts, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY icao24 ORDER BY event_ts) <= INTERVAL 180 SECOND THEN 0 ELSE 1 END AS opens FROM pos),
