@@ -27,6 +27,8 @@ MASK = (1 << 64) - 1
 #: Most bytes of a group's distinct segments, and of a batch of groups, that one index covers.
 GROUP_BYTES = 2 << 20
 BATCH_BYTES = 1 << 20
+#: Pairs of suffixes compared at once; their bytes are gathered in arrays of 32 numbers a pair.
+PAIR_BLOCK = 1 << 14
 
 _powers: list[np.ndarray] = []
 
@@ -135,7 +137,15 @@ def suffix_order(text: np.ndarray, stop: np.ndarray, reach: int) -> np.ndarray:
 
 
 def common(text: np.ndarray, stop: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the match between the suffixes at a and at b."""
+    """Length of the match between the suffixes at a and at b, for a block of pairs at a time."""
+    found = np.zeros(len(a), dtype=np.int64)
+    for first in range(0, len(a), PAIR_BLOCK):
+        some = slice(first, first + PAIR_BLOCK)
+        found[some] = common_of(text, stop, a[some], b[some])
+    return found
+
+
+def common_of(text: np.ndarray, stop: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     room = np.minimum(stop[a] - a, stop[b] - b)
     found = np.zeros(len(a), dtype=np.int64)
     open_ = np.arange(len(a))
