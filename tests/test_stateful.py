@@ -45,3 +45,21 @@ def test_equal_reports_are_one_row_of_state():
     one = pd.DataFrame({"us": [5, 5, 6], "lat": [1.0, 1.0, None], "name": ["a", "a", None], "copies": [1, 1, 1]})
     rows = stateful.merged([one, stateful.unpacked(stateful.packed(one))])
     assert sorted(rows["copies"]) == [2, 4] and len(rows) == 2
+
+
+def test_many_keys_share_a_row_of_state_and_stay_apart(spark, tmp_path):
+    """State and calls into Python are bounded by the groups, not by the keys."""
+    source, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "c"))
+    keys = [f"{k:06x}" for k in range(12)]
+    rows = [r for k, key in enumerate(keys) for r in circling(laps=3 + k % 3, key=key, start=T0 + timedelta(minutes=7 * k))]
+    rows += circling(laps=3, key="", start=T0) + [(None, "N", *rows[0][2:]), (*rows[0][:2], None, *rows[0][3:])]
+    held = []
+    for part in (rows[::2], rows[1::2], [("clock", None, T0 + timedelta(days=1), *[None] * 6)]):
+        spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(source)
+        query = stateful.detect_stateful(etl.table_stream(spark, source, SCHEMA), log, checkpoint, RULES, delay="3 hours", groups=2)
+        query.awaitTermination()
+        held += [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    known = [r for r in rows if r[0] is not None]
+    want = rows_of(conform(episodes(spark.createDataFrame(known, SCHEMA), RULES)))
+    assert rows_of(conform(stateful.logged_episodes(spark, log, RULES))) == want and len(want) >= len(keys)
+    assert max(held) == 2

@@ -1,10 +1,11 @@
 """Episode detection on a stream with keyed state: every report is evaluated once, and no history is read again.
 
-State holds a key's newest reports. Once the watermark has passed the end of a time chunk and what rules look ahead, nothing can
-still arrive for it: its reports leave with their neighbours before and behind, in the layout in which batch detection cuts
-tracks, and state keeps only what later chunks look back on. So reports may arrive in any order within the delay, and state is
-bounded by the chunk, the look-back and the look-ahead, not by the history. The windows over a chunk run as the same
-DataFrame operators as in a batch; their pieces of episodes go to a log, and episodes are a fold of it, in which
+State holds the newest reports, one row for each group of keys (``groups`` of them, by a hash of the key), so a call into Python
+serves many keys and its cost follows the reports, not the number of keys. Once the watermark has passed the end of a time chunk and
+what rules look ahead, nothing can still arrive for it: its reports leave with their neighbours before and behind, in the layout in
+which batch detection cuts tracks, and state keeps only what later chunks look back on. So reports may arrive in any order within the
+delay, and state is bounded by the chunk, the look-back and the look-ahead, not by the history. The windows over a chunk run as the
+same DataFrame operators as in a batch; their pieces of episodes go to a log, and episodes are a fold of it, in which
 visits over chunk borders are joined. A repeated batch replaces its own pieces.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
@@ -26,12 +28,13 @@ from trackflow.operators import episodes as E
 from trackflow.operators.tracks import chunk_frames, placed_reports
 
 STATE = "held BINARY, next_chunk BIGINT"
+GROUPS = 256  # at 36 million waiting reports a group holds 140,000 of them, so a task needs tens of megabytes
 
 
 def packed(rows: pd.DataFrame) -> bytes:
     table = pa.Table.from_pandas(rows, preserve_index=False)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -47,39 +50,42 @@ def merged(parts: list[pd.DataFrame]) -> pd.DataFrame:
     return rows.groupby(names, dropna=False, sort=False, as_index=False)["copies"].sum()[[*names, "copies"]]
 
 
-def settled_chunks(positions: DataFrame, rules: TrackRules = TrackRules(), delay: str = "2 minutes") -> DataFrame:
+def settled_chunks(positions: DataFrame, rules: TrackRules = TrackRules(), delay: str = "2 minutes", groups: int = GROUPS) -> DataFrame:
     """Reports of finished chunks: key, ``us``, the report's columns, ``copies``, and ``chunk`` and ``home`` as in ``in_chunks``.
 
-    Rows at or behind the watermark are dropped by Spark; all others wait for their chunk. A chunk without reports of
-    its own is not made. Reports without key or time are left out.
+    Rows at or behind the watermark are dropped by Spark; all others wait for their chunk. A key's chunk without reports of
+    its own is not made. Reports without key or time are left out. ``groups`` must stay the same for the life of a checkpoint.
     """
     c = rules.columns
     size, back, ahead = (s * SECOND for s in (rules.chunk_s, rules.back_s, rules.ahead_s))
     values = (c.name, c.lat, c.lon, c.alt, c.vr, c.track, c.ground)
     stream = positions.withWatermark(c.ts, delay).where(F.col(c.key).isNotNull() & F.col(c.ts).isNotNull())
-    reports = stream.select(F.col(c.key).cast("string").alias(c.key), micros(F.col(c.ts)).alias("us"), *values, F.lit(1).cast("long").alias("copies"), c.ts)
+    key = F.col(c.key).cast("string")
+    group = F.pmod(F.xxhash64(key), F.lit(groups)).alias("key_group")
+    reports = stream.select(group, key.alias(c.key), micros(F.col(c.ts)).alias("us"), *values, F.lit(1).cast("long").alias("copies"), c.ts)
     types = dict(reports.dtypes)
-    out = [c.key, "us", *values, "copies", "chunk", "home"]
+    held_columns = [c.key, "us", *values, "copies"]
+    out = [*held_columns, "chunk", "home"]
     schema = ", ".join(f"{n} {types.get(n, 'boolean' if n == 'home' else 'bigint')}" for n in out)
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held, next_chunk = state.get if state.exists else (None, None)
         parts = [unpacked(held)] if held is not None else []
-        parts += [f[["us", *values, "copies"]] for f in frames]
+        parts += [f[held_columns] for f in frames]
         if not parts:
             return
-        rows = merged(parts)
-        own = rows["us"] // size
+        rows = merged(parts).sort_values("us", kind="stable", ignore_index=True)
+        us = rows["us"].to_numpy()
+        own = us // size
         done = (state.getCurrentWatermarkMs() * 1000 - ahead) // size  # chunks below are finished
-        begun = own.min() if next_chunk is None else next_chunk
-        for chunk in sorted(set(own[(own >= begun) & (own < done)])):
-            near = rows[(rows["us"] >= chunk * size - back) & (rows["us"] < (chunk + 1) * size + ahead)].copy()
+        begun = own[0] if next_chunk is None else next_chunk
+        for chunk in np.unique(own[(own >= begun) & (own < done)]):
+            near = rows.iloc[us.searchsorted(chunk * size - back) : us.searchsorted((chunk + 1) * size + ahead)].copy()
             near["chunk"] = chunk
             near["home"] = near["us"] // size == chunk
-            near[c.key] = key[0]
-            yield near[out]
+            yield near.loc[near[c.key].isin(near.loc[near["home"], c.key]), out]
         begun = max(begun, done)
-        rows = rows[rows["us"] >= begun * size - back]
+        rows = rows[us >= begun * size - back]
         if rows.empty:
             state.remove()
             return
@@ -89,7 +95,7 @@ def settled_chunks(positions: DataFrame, rules: TrackRules = TrackRules(), delay
         state.update((packed(rows), int(begun)))
         state.setTimeoutTimestamp(max(-(-int(due) // 1000), state.getCurrentWatermarkMs() + 1))
 
-    return reports.groupBy(c.key).applyInPandasWithState(step, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return reports.groupBy("key_group").applyInPandasWithState(step, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def chunk_pieces(chunks: DataFrame, rules: TrackRules = TrackRules(), kinds=EPISODE_KINDS) -> DataFrame:
@@ -111,9 +117,9 @@ def chunk_summary(chunks: DataFrame, rules: TrackRules = TrackRules()) -> DataFr
 
 
 def detect_stateful(
-    positions: DataFrame, log: str, checkpoint: str, rules: TrackRules = TrackRules(), delay: str = "2 minutes", every: str | None = None
+    positions: DataFrame, log: str, checkpoint: str, rules: TrackRules = TrackRules(), delay: str = "2 minutes", every: str | None = None, groups: int = GROUPS
 ) -> StreamingQuery:
-    """Log the pieces of episodes of a stream of positions below ``log``."""
+    """Log the pieces of episodes of a stream of positions below ``log``; ``groups`` as in ``settled_chunks``."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.DISK_ONLY)  # read twice; lost blocks are made again from the same state
@@ -124,7 +130,7 @@ def detect_stateful(
             batch.unpersist()
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    writer = settled_chunks(positions, rules, delay).writeStream.foreachBatch(on_batch).outputMode("append")
+    writer = settled_chunks(positions, rules, delay, groups).writeStream.foreachBatch(on_batch).outputMode("append")
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
