@@ -249,6 +249,25 @@ def test_merge_touches_only_its_days(spark, tmp_path):
     assert sorted((r.event_id, r.n) for r in spark.read.parquet(path).collect()) == [("e1", 0), ("e2", 7), ("e3", 0), ("f2", 8)]
 
 
+def test_merge_computes_its_source_once(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = "event_id string, started_at timestamp, ended_at timestamp, n int"
+    day = lambda d, h=0: datetime(2026, 1, d, h)
+    upsert.write_days(spark.createDataFrame([("e1", day(1), day(1, 1), 0)], schema), path, "started_at")
+    made, kept = spark.sparkContext.accumulator(0), spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def counted(frames):
+        for f in frames:
+            made.add(len(f))
+            yield f
+
+    source = spark.createDataFrame([("e1", day(1), day(1, 2), 7), ("f2", day(2), day(2, 1), 8), ("f3", None, day(2, 1), 9)], schema).mapInPandas(counted, schema)
+    upsert.merge_days(spark, path, source, lambda t, s: upsert.extend_later(t, s, "event_id", {"n": F.col("s.n")}), "started_at")
+    assert made.value == 3
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    assert sorted((r.event_id, r.n) for r in spark.read.parquet(path).collect()) == [("e1", 7), ("f2", 8), ("f3", 9)]
+
+
 def test_exact_percentiles_against_spark(spark):
     rnd = random.Random(5)
     rows = [(k, rnd.choice([None, float(rnd.randrange(50)), rnd.gauss(0, 1e6), rnd.random() * 1e-6])) for k in "abc" for _ in range(700)] + [("one", 3.5), ("none", None)]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,13 +82,19 @@ def merge_days(
     """Merge ``source`` into the table at ``path``, partitioned by the day of ``at``, through ``merge(target, source)``.
 
     A row's day must not change by the merge. Only the touched days are read (a partition filter) and replaced; their next
-    content is written to the shared folder first, since a table cannot be overwritten while it is read.
+    content is written to the shared folder first, since a table cannot be overwritten while it is read. ``source`` is
+    computed once and kept on disk meanwhile, as its days and its rows are asked for apart.
     """
-    days = sorted(r[0] for r in source.select(F.to_date(at)).distinct().collect() if r[0])  # a calendar's worth at most
-    table = (spark.read.schema(schema) if schema else spark.read).parquet(path)
-    touched = table.where(F.col(day).isin(days)).drop(day)
-    scratch = shared_folder(spark, "merge")
-    merge(touched, source).write.parquet(scratch)
+    # a plan of its own, so a cache of the caller stays; lost blocks are made again, as the table is replaced only after the last read
+    source = source.select("*").persist(StorageLevel.DISK_ONLY)
+    try:
+        days = sorted(r[0] for r in source.select(F.to_date(at)).distinct().collect() if r[0])  # a calendar's worth at most
+        table = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+        touched = table.where(F.col(day).isin(days)).drop(day)
+        scratch = shared_folder(spark, "merge")
+        merge(touched, source).write.parquet(scratch)
+    finally:
+        source.unpersist()
     write_days(spark.read.parquet(scratch), path, at, day)
 
 
