@@ -83,6 +83,37 @@ def test_strips_are_skipped_only_beyond_the_radius(monkeypatch):
     assert smallest_reachable(range(90), list(zip(i.tolist(), j.tolist()))) == smallest_reachable(range(90), links)
 
 
+@pytest.mark.parametrize("tile", [3, 1000])
+def test_links_of_like_sizes_lose_no_component(spark, tile):
+    """Sizes at the very ratio count; links of a text in between, nearer by bits but of another size, do not stand for others."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 12, dtype=np.uint64)
+    fps = [int(base[i % 12]) for i in range(200)]
+    for i in range(200):
+        for bit in rng.choice(63, rng.integers(0, 4), replace=False):
+            fps[i] ^= 1 << int(bit)
+    sizes = [int(x) for x in rng.choice([0, 1, 4, 5, 8, 10, 15, 16, 20, 25, 99, 100, 125], 200)]
+    nodes = spark.createDataFrame([*((i, f, s) for i, (f, s) in enumerate(zip(fps, sizes))), (500, 1, None), (501, None, 1)], "id long, fp long, size long")
+    got = simhash.near_links(nodes, 4, tile=tile, ratio=0.8).collect()
+    able = lambda a, b: 5 * min(sizes[a], sizes[b]) >= 4 * max(sizes[a], sizes[b]) and (fps[a] ^ fps[b]).bit_count() <= 4
+    want = smallest_reachable(range(200), [(a, b) for a in range(200) for b in range(a) if able(a, b)])
+    assert smallest_reachable(range(200), [(r.a, r.b) for r in got]) == want and all(able(r.a, r.b) for r in got)
+    assert len(set(want.values())) > 40
+    assert simhash.near_links(nodes.limit(0), 4, ratio=0.8).count() == 0
+
+
+def test_texts_of_unlike_sizes_are_not_compared(monkeypatch):
+    """Ten sizes, each far from the next: only rows of one size meet."""
+    monkeypatch.setattr(simhash, "STRIP", 100)
+    met = []
+    compare = simhash.within
+    monkeypatch.setattr(simhash, "within", lambda a, b, radius: met.append(len(a) * len(b)) or compare(a, b, radius))
+    fps = np.random.default_rng(1).integers(0, 1 << 63, 3000, dtype=np.uint64)
+    sizes = np.tile(2 ** np.arange(4, 14), 300)
+    simhash.tile_links(fps, None, 12, (sizes, sizes), 0.8)
+    assert 10 * 300 * 299 // 2 <= sum(met) <= 10 * 300 * 300
+
+
 def test_near_duplicates_edge_rows(spark):
     rng = random.Random(8)
     words = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
@@ -217,6 +248,30 @@ def test_repeats_in_small_and_large_groups(spark, monkeypatch, group_bytes):
     assert [(len(r.bytes), len(r.bytes) - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got] == brute_removed(texts, 40)
 
 
+def test_a_large_group_with_few_repeats(spark, monkeypatch):
+    """Texts that share a phrase but no window: few windows are hashed, and the repeats among them are found."""
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    phrase, passage = noise(70), noise(220)
+    texts = [noise(rng.randint(100, 300)) + phrase + noise(rng.randint(100, 300)) for _ in range(80)]
+    texts += [noise(rng.randint(0, 50)) + passage[:100] + phrase + passage[100:] + noise(rng.randint(0, 50)) for _ in range(3)]
+    texts += [f"{phrase}{texts[0][-80:]}" * 3, phrase * 8]
+    monkeypatch.setattr(repeats, "GROUP_BYTES", 300)
+    hashed = {}
+    whole = repeats.staged
+
+    def counted(df, name, *more):
+        out = whole(df, name, *more)
+        hashed[name] = hashed.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(repeats, "staged", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = repeats.kept(repeats.repeated_spans(df, 200)).orderBy("doc_id").collect()
+    assert [(len(r.bytes), len(r.bytes) - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got] == brute_removed([t.encode() for t in texts], 200)
+    assert sum(bool(r.spans) for r in got) == 5 and hashed["windows"] < 80 * 100
+
+
 def test_repeats_edge_rows(spark):
     long = " ".join(str(i) for i in range(20_000))
     df = spark.createDataFrame([(1, None), (2, ""), (None, "z" * 30 + "q"), (3, long), (3, long), (4, "é" * 30), (5, "aé" + "é" * 30)], "doc_id long, text string")

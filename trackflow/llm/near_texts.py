@@ -49,8 +49,8 @@ def near_groups(docs: DataFrame, shingle_words: int = 5, radius: int = 12, simil
     nodes = marked.groupBy("hash").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("sig").alias("sig"))
     nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    close = near_links(nodes.select(F.col("node").alias("id"), "fp", F.col("n").alias("size")), radius)
-    close = staged(close.where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")).select("a", "b"), "links")
+    close = near_links(nodes.select(F.col("node").alias("id"), "fp", F.col("n").alias("size")), radius, ratio=similarity)
+    close = staged(close.select("a", "b"), "links")
     shared = staged(minhash.shared_keys(nodes).select("key", "node"), "shared")
 
     def cut(hashes: list, texts: list, *rest: list) -> list:

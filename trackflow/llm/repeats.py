@@ -6,7 +6,8 @@ anchor meet in one group; identical ones are entered once, with their multiplici
 Burrows-Wheeler transform is built over one alphabet per group and compressed to runs. Only run ends are sampled: each with
 its text position and the length of the match with its neighbour there. Streaming through the text, a match shortens by one
 byte at each step until a sampled end offers a longer one, which gives the matching statistics of every position; those of
-at least ``length`` are marked. Groups too large for one task are settled exactly by counting the hashes of their windows.
+at least ``length`` are marked. Groups too large for one task are settled exactly by counting the hashes of their windows,
+of those whose neighbourhood occurs again.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ MASK = (1 << 64) - 1
 #: Most bytes of a group's distinct segments, and of a batch of groups, that one index covers.
 GROUP_BYTES = 2 << 20
 BATCH_BYTES = 1 << 20
+#: Neighbouring windows of a large group that are counted as one at first.
+BLOCK = 16
 #: Pairs of suffixes compared at once; their bytes are gathered in arrays of 32 numbers a pair.
 PAIR_BLOCK = 1 << 14
 
@@ -298,7 +301,7 @@ def repeated_spans(docs: DataFrame, length: int, anchor: int | None = None, id_c
 
     small = cut_out.where(F.col("group_bytes") <= GROUP_BYTES).repartition("anchor").sortWithinPartitions("anchor")
     by_index = small.select("anchor", "segment", "n", "group_bytes", "part").mapInArrow(index, f"anchor long, segment long, marks {SPANS}")
-    by_count = large_groups(cut_out.where(F.col("group_bytes") > GROUP_BYTES), length)
+    by_count = large_groups(cut_out.where(F.col("group_bytes") > GROUP_BYTES), length, k)
     marks = staged(whole.unionByName(by_index).unionByName(by_count), "marks")
 
     at = places.join(marks, ["anchor", "segment"]).select("hash", "start", F.explode("marks").alias("m"))
@@ -323,24 +326,69 @@ def union_of(spans):
     return F.aggregate(spans, start, add)
 
 
-def large_groups(parts: DataFrame, length: int) -> DataFrame:
-    """Marks of groups that exceed one task: hashes of all windows of their segments, counted with map-side sums."""
-    schema = pa.schema([("anchor", pa.int64()), ("segment", pa.int64()), ("window", pa.binary()), ("at", pa.int32())])
+def windows_at(data: bytes, anchor: int, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the windows of a segment that hold its anchor, the place of the first anchor in each, and the block of the distance."""
+    at = np.flatnonzero(string_hashes(np.frombuffer(data, dtype=np.uint8), k).view(np.int64) == anchor)
+    start = np.arange(len(data) - length + 1)
+    of = np.searchsorted(at, start)
+    start, of = start[of < len(at)], of[of < len(at)]
+    start, at = start[at[of] + k <= start + length], at[of][at[of] + k <= start + length]
+    return start, at, (at - start) // BLOCK
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def large_groups(parts: DataFrame, length: int, k: int) -> DataFrame:
+    """Marks of groups that exceed one task: hashes of the windows of their segments, counted with map-side sums.
+
+    Most segments of such a group share little more than the anchor. So what all windows of a block have in common, nearly a
+    window, is counted first, once for ``BLOCK`` windows; equal windows lie in equal blocks, and only blocks that occur again are hashed
+    window by window.
+    """
+    core_schema = pa.schema([("anchor", pa.int64()), ("segment", pa.int64()), ("weight", pa.int32()), ("core", pa.binary()), ("at", pa.int32()), ("block", pa.int32())])
+    schema = pa.schema([("anchor", pa.int64()), ("segment", pa.int64()), ("weight", pa.int32()), ("window", pa.binary()), ("at", pa.int32())])
+
+    def gathered(segments_: Iterator[tuple[list, int]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """Batches of some ten thousand rows from columns, of which single values stand for all of a segment's rows."""
+        held: list[list[pa.Array]] = [[] for _ in schema]
+        size = 0
+        for columns, n in segments_:
+            for to, column, f in zip(held, columns, schema, strict=True):
+                to.append(pa.array(column, f.type) if isinstance(column, list | np.ndarray) else pa.repeat(pa.scalar(column, f.type), n))
+            size += n
+            if size > 10_000 or len(held[0]) > 1_000:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in held], schema=schema)
+                held, size = [[] for _ in schema], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in held], schema=schema)
+
+    def core_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, int]]:
+        for batch in batches:
+            for a, s, weight, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _, at, block = windows_at(part, a, length, k)
+                new = np.ones(len(at), dtype=bool)
+                new[1:] = (at[1:] != at[:-1]) | (block[1:] != block[:-1])
+                at, block = at[new], block[new]
+                last = np.minimum(block * BLOCK + BLOCK - 1, length - k)
+                places = zip((at - block * BLOCK).tolist(), (at - last + length).tolist(), block.tolist(), strict=True)
+                yield [a, s, weight, [xxhash.xxh3_128_digest(part[i:j], b) for i, j, b in places], at, block], len(at)
+
+    def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, int]]:
         for batch in batches:
-            for a, s, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                n = len(part) - length + 1
-                digests = [xxhash.xxh3_128_digest(part[i : i + length]) for i in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array([a] * n, pa.int64()), pa.array([s] * n, pa.int64()), pa.array(digests, pa.binary()), pa.array(range(n), pa.int32())], schema=schema)
-
-    every = staged(parts.where("n = 1").select("anchor", "segment", "part").mapInArrow(windows, "anchor long, segment long, window binary, at int"), "windows")
-    known = parts.where("n > 1").select("anchor", "segment", "part").mapInArrow(windows, "anchor long, segment long, window binary, at int")
-    # within a group only: segments of several groups hold the same place of a text
-    pair = ["anchor", "window"]
-    seen = every.select(*pair).union(known.select(*pair)).union(known.select(*pair))
-    twice = staged(seen.groupBy(*pair).count().where("count > 1").select(*pair), "twice")  # stored, so that a hot window can be split in the join
-    runs = every.join(twice, pair).select("anchor", "segment", "at")
+            for a, s, weight, part, live in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                start, at, block = windows_at(part, a, length, k)
+                start = start[np.isin(at * length + block, [x["at"] * length + x["block"] for x in live])]
+                yield [a, s, weight, [xxhash.xxh3_128_digest(part[i : i + length]) for i in start.tolist()], start], len(start)
+
+    def again(rows: DataFrame, name: str) -> DataFrame:
+        """Those that a segment not yet marked shares; within a group only: segments of several groups hold the same place of a text."""
+        seen = rows.groupBy("anchor", name).agg(F.sum("weight").alias("n"), F.min("weight").alias("least"))
+        return staged(seen.where("n > 1 AND least = 1").select("anchor", name), "twice")  # stored, so that a hot one can be split in the join
+
+    parts = parts.select("anchor", "segment", F.least("n", F.lit(2)).cast("int").alias("weight"), "part")  # segments that occur more than once are marked
+    blocks = staged(parts.mapInArrow(lambda rows: gathered(core_rows(rows), core_schema), "anchor long, segment long, weight int, core binary, at int, block int"), "cores")
+    live = blocks.join(again(blocks, "core"), ["anchor", "core"]).groupBy("anchor", "segment").agg(F.collect_list(F.struct("at", "block")).alias("live"))
+    every = parts.join(live, ["anchor", "segment"]).select("anchor", "segment", "weight", "part", "live")
+    every = staged(every.mapInArrow(lambda rows: gathered(window_rows(rows), schema), "anchor long, segment long, weight int, window binary, at int"), "windows")
+    runs = every.where("weight = 1").join(again(every, "window"), ["anchor", "window"]).select("anchor", "segment", "at")
     # neighbouring starts of one segment, at most its bytes, become one span
     w = Window.partitionBy("anchor", "segment").orderBy("at")
     starts = runs.withColumn("run", F.col("at") - F.row_number().over(w))

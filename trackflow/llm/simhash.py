@@ -5,10 +5,15 @@ the counts of their halves differ, so only pairs of cells that can lie within th
 bounded size. Inside a pair of tiles, strips sorted by the population counts of the quarters are compared with exclusive
 or and bit counts, and strips too far apart are skipped. A pair of tiles returns a minimum spanning forest of its links,
 closest first: the same components as all links, without the pairs of a group.
+
+Where links between sets of very different sizes are of no use, cells are classes of sizes instead, and strips are sorted by
+size first: that leaves far fewer pairs than population counts, which hardly tell fingerprints of prose apart.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -21,6 +26,8 @@ from trackflow.llm.work import map_rows, ready, staged
 SEED = 42
 TILE = 32768
 STRIP = 1024
+#: Rows of a strip that are compared at once, so that the numbers between stay in the cache.
+ROWS = 64
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -87,34 +94,62 @@ def forest(n: int, i: np.ndarray, j: np.ndarray, bits: np.ndarray) -> np.ndarray
     return np.concatenate(taken) if taken else np.zeros(0, dtype=np.int64)
 
 
-def strips(fps: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray, np.ndarray]]]:
-    """An order by the population counts of the quarters, and its strips with their smallest and largest counts."""
+def strips(fps: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray, np.ndarray, int, int]]]:
+    """An order by size and the population counts of the quarters, and its strips with their smallest and largest counts and sizes."""
     counts = np.bitwise_count(fps.astype(">u8").view(np.uint8).reshape(-1, 4, 2)).sum(axis=2, dtype=np.int64)
-    order = np.lexsort((counts[:, 2], counts[:, 0]))
-    counts = counts[order]
-    return order, [(a, min(a + STRIP, len(fps)), counts[a : a + STRIP].min(axis=0), counts[a : a + STRIP].max(axis=0)) for a in range(0, len(fps), STRIP)]
+    order = np.lexsort((counts[:, 2], counts[:, 0], sizes))
+    counts, sizes = counts[order], sizes[order]
+    cut = [(a, min(a + STRIP, len(fps))) for a in range(0, len(fps), STRIP)]
+    return order, [(a, b, counts[a:b].min(axis=0), counts[a:b].max(axis=0), int(sizes[a]), int(sizes[b - 1])) for a, b in cut]
+
+
+def within(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of all pairs that differ in ``radius`` bits at most, and these bits."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    other = np.empty((ROWS, len(right)), dtype=np.uint64)
+    bits = np.empty((ROWS, len(right)), dtype=np.uint8)
+    for a in range(0, len(left), ROWS):
+        rows = left[a : a + ROWS, None]
+        own, count = other[: len(rows)], bits[: len(rows)]
+        np.bitwise_count(np.bitwise_xor(rows, right, out=own), out=count)
+        at = np.flatnonzero(count <= radius)
+        if len(at):
+            found.append((at + a * len(right), count.ravel()[at]))
+    if not found:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint8)
+    at, near = (np.concatenate(x) for x in zip(*found, strict=True))
+    return at // len(right), at % len(right), near
 
 
-def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links of a spanning forest between two tiles, or inside one: positions in left and right, and bits that differ."""
+def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int, sizes: tuple[np.ndarray, np.ndarray] | None = None, ratio: float = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links of a spanning forest between two tiles, or inside one: positions in left and right, and bits that differ.
+
+    With ``sizes`` of the rows of both, only pairs count whose smaller size is ``ratio`` of the larger one or more.
+    """
     same = right is None
     right = left if same else right
-    order_l, strips_l = strips(left)
-    order_r, strips_r = (order_l, strips_l) if same else strips(right)
-    sorted_l, sorted_r = left[order_l], right[order_r]
+    size_l, size_r = sizes or (np.zeros(len(left)), np.zeros(len(right)))
+    order_l, strips_l = strips(left, size_l)
+    order_r, strips_r = (order_l, strips_l) if same else strips(right, size_r)
+    sorted_l, sorted_r, size_l, size_r = left[order_l], right[order_r], size_l[order_l], size_r[order_r]
     shift = 0 if same else len(left)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for a, b, low, high in strips_l:
-        for c, d, low_r, high_r in strips_r:
-            if same and c < a or np.maximum(np.maximum(low - high_r, low_r - high), 0).sum() > radius:
+    for a, b, low, high, least, most in strips_l:
+        for c, d, low_r, high_r, least_r, most_r in strips_r:
+            if same and c < a or most < ratio * least_r or most_r < ratio * least:
+                continue
+            if np.maximum(np.maximum(low - high_r, low_r - high), 0).sum() > radius:
                 continue
-            bits = np.bitwise_count(sorted_l[a:b, None] ^ sorted_r[None, c:d])
-            i, j = np.nonzero(bits <= radius)
+            i, j, own = within(sorted_l[a:b], sorted_r[c:d], radius)
             if same and a == c:
-                i, j = i[i < j], j[i < j]
+                once = i < j
+                i, j, own = i[once], j[once], own[once]
+            if ratio and len(i):
+                one, other = size_l[a + i], size_r[c + j]
+                able = np.minimum(one, other) >= ratio * np.maximum(one, other)
+                i, j, own = i[able], j[able], own[able]
             if not len(i):
                 continue
-            own = bits[i, j]
             kept = forest(b - a + d - c, i, (j if same and a == c else j + b - a), own)
             found.append((i[kept] + a, j[kept] + c, own[kept]))
     if not found:
@@ -125,24 +160,32 @@ def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple
     return i[kept], j[kept], bits[kept]
 
 
-def near_links(nodes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
+def near_links(nodes: DataFrame, radius: int, tile: int = TILE, ratio: float = 0) -> DataFrame:
     """Links (``a``, ``b``, ``bits``, ``size_a``, ``size_b``) of spanning forests of all pairs within the radius.
 
-    ``nodes``: ``id`` long, ``fp`` long, ``size`` long, from a stored table; at most 33 x 33 cell counts reach the driver.
-    Nodes with a null id or fp are ignored.
+    ``ratio``: of those only whose smaller size is this share of the larger one or more.
+    ``nodes``: ``id`` long, ``fp`` long, ``size`` long, from a stored table; at most 33 x 33 cell counts reach the driver, or one for
+    each class of sizes. Nodes with a null id or fp are ignored, with ``ratio`` also those with a null size.
     """
     spark = ready(nodes.sparkSession)
     half = lambda bits: F.bit_count(F.shiftrightunsigned("fp", 32) if bits else F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
     width = max(1, radius // 2)  # of a cell, in bits of a population count: wider cells mean fewer copies of a node
     cell = lambda bits: F.floor(half(bits) / width).cast("int")
     apart = lambda a, b: max(0, (abs(a - b) - 1) * width + 1)  # noqa: E731  # least difference of counts in two cells
-    nodes = nodes.where("id IS NOT NULL AND fp IS NOT NULL").select("id", "fp", "size", cell(1).alias("high"), cell(0).alias("low"))
+    near = lambda one, other: apart(one[0], other[0]) + apart(one[1], other[1]) <= radius
+    nodes = nodes.where("id IS NOT NULL AND fp IS NOT NULL")
+    if ratio:
+        step = max(-math.log(ratio), 0.001) * (1 + 1e-9)  # two sizes within the ratio are of one class or of neighbouring ones
+        nodes = nodes.where("size IS NOT NULL").select("id", "fp", "size", F.floor(F.log(F.greatest("size", F.lit(1))) / step).cast("int").alias("high"), F.lit(0).alias("low"))
+        near = lambda one, other: abs(one[0] - other[0]) <= 1
+    else:
+        nodes = nodes.select("id", "fp", "size", cell(1).alias("high"), cell(0).alias("low"))
     cells = {(r[0], r[1]): -(-r[2] // tile) for r in nodes.groupBy("high", "low").count().collect()}
     order = {c: k for k, c in enumerate(sorted(cells))}
     meets = []  # of a cell: the pair of cells, its side, and into how many tiles both are cut
     for (h, w), n in cells.items():
         for (h2, w2), n2 in cells.items():
-            if order[h, w] <= order[h2, w2] and apart(h, h2) + apart(w, w2) <= radius:
+            if order[h, w] <= order[h2, w2] and near((h, w), (h2, w2)):
                 pair = order[h, w], order[h2, w2]
                 meets.append((h, w, *pair, 0, n, n2))
                 if pair[0] != pair[1]:
@@ -150,7 +193,7 @@ def near_links(nodes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
                 elif n > 1:
                     meets.append((h2, w2, *pair, 1, n, n))
     partners = spark.createDataFrame(meets, "high int, low int, cell_a int, cell_b int, side int, own int, other int")
-    # pairs of cells within the radius, a table that no data enlarges
+    # pairs of cells within the radius or of neighbouring classes, a table that no data enlarges
     dealt = nodes.join(F.broadcast(partners), ["high", "low"]).withColumn("tile", F.pmod(F.xxhash64("fp", "id"), F.col("own")).cast("int"))
     same = F.col("cell_a") == F.col("cell_b")
     first = F.when(same & (F.col("side") == 0), F.col("tile")).otherwise(0)
@@ -169,8 +212,8 @@ def near_links(nodes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
         fps = rows["fp"].to_numpy().view(np.uint64)
         one = side == 0
         inside = rows["cell_a"][0].as_py() == rows["cell_b"][0].as_py() and rows["tile_a"][0].as_py() == rows["tile_b"][0].as_py()
-        i, j, bits = tile_links(fps[one], None if inside else fps[~one], radius)
         far = one if inside else ~one
+        i, j, bits = tile_links(fps[one], None if inside else fps[far], radius, (sizes[one], sizes[far]) if ratio else None, ratio)
         return pa.table([ids[one][i], ids[far][j], bits.astype(np.int32), sizes[one][i], sizes[far][j]], schema=schema)
 
     return dealt.groupBy("cell_a", "tile_a", "cell_b", "tile_b").applyInArrow(compare, "a long, b long, bits int, size_a long, size_b long")
